@@ -1,0 +1,77 @@
+"""L1-L9 as plain functions ``(target, staged, ..) -> new target``.
+
+They state what a load means and run in any plan; ``store.Store`` applies the same rules
+to partitioned files, touching only the partitions concerned.
+"""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..sources.typing import fail_when
+
+
+def full_refresh(target: DataFrame, staged: DataFrame) -> DataFrame:
+    """L1: the staged rows, or the old ones if nothing was staged."""
+    return keep_when_empty(target, staged, F.lit(True))
+
+
+def append(target: DataFrame, staged: DataFrame) -> DataFrame:
+    """L2."""
+    return target.unionByName(staged, allowMissingColumns=True)
+
+
+def replace_day(target: DataFrame, staged: DataFrame, column: str, taken_on: date) -> DataFrame:
+    """L3: one day's rows are replaced; nothing happens if nothing was staged."""
+    return keep_when_empty(target, staged, F.col(column) == F.lit(taken_on))
+
+
+def keep_when_empty(target: DataFrame, staged: DataFrame, replaced) -> DataFrame:
+    """Drop the ``replaced`` rows of the target unless the staged table is empty, and add the staged rows."""
+    something_staged = staged.limit(1).agg(F.count(F.lit(1)) > 0).scalar()
+    kept = target.filter(~(F.coalesce(replaced, F.lit(False)) & something_staged))
+    return kept.unionByName(staged, allowMissingColumns=True)
+
+
+def replace_range(target: DataFrame, staged: DataFrame, column: str, start: date, end: date) -> DataFrame:
+    """L4: rows dated in [start, end] give way to the staged ones, also when there are none."""
+    inside = F.col(column).between(F.lit(start), F.lit(end))
+    return target.filter(~F.coalesce(inside, F.lit(False))).unionByName(staged, allowMissingColumns=True)
+
+
+def replace_months(target: DataFrame, staged: DataFrame, column: str, months: list[date]) -> DataFrame:
+    """Like L4 for a list of months."""
+    inside = F.col(column).isin(months)
+    return target.filter(~F.coalesce(inside, F.lit(False))).unionByName(staged, allowMissingColumns=True)
+
+
+def one_row_per_key(staged: DataFrame, key: str, newest_by: str | None = None) -> DataFrame:
+    """L6 guard: duplicate keys fail, or with ``newest_by`` only the latest row of a key stays."""
+    same_key = Window.partitionBy(key)
+    if newest_by is None:
+        counted = staged.withColumn("_n", F.count(F.lit(1)).over(same_key))
+        return fail_when(counted, F.col("_n") > 1, f"staged rows repeat a {key}").drop("_n")
+    rank = F.row_number().over(same_key.orderBy(F.col(newest_by).desc_nulls_last()))
+    return staged.withColumn("_n", rank).filter("_n = 1").drop("_n")
+
+
+def upsert(target: DataFrame, staged: DataFrame, key: str, newest_by: str | None = None) -> DataFrame:
+    """A staged row replaces the target row of the same key in every column, NULLs included; others stay."""
+    staged = one_row_per_key(staged, key, newest_by)
+    return target.join(staged.select(key), key, "left_anti").unionByName(staged, allowMissingColumns=True)
+
+
+def add_missing_columns(target: DataFrame, wanted: T.StructType) -> DataFrame:
+    """Columns the table lacks are added as NULL, whatever the case of their names; types never change."""
+    live = {c.upper() for c in target.columns}
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in wanted if f.name.upper() not in live}
+    return target.withColumns(missing)
+
+
+def retained(target: DataFrame, column: str, days: int | None, as_of: date) -> DataFrame:
+    """Partitions older than ``days`` are gone; None keeps everything."""
+    return target if days is None else target.filter(F.col(column) >= F.date_sub(F.lit(as_of), days))
