@@ -6,11 +6,13 @@ inputs from it and the oracle puts the same text in front of its own query.
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tianguis.model import Tables
+from tianguis.sources.files import read_spread
 
 AS_OF = date(2001, 8, 1)  # last order date
 AS_OF_TS = datetime(2024, 1, 31)  # events end the day before
@@ -167,13 +169,13 @@ FROM part"""
 def spark_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Run shared SQL with the given tables standing for their Parquet files."""
     # Only the tables a query names are read, so a plan shows just its own scans.
-    used = [g for g in GIVEN if f" {g}" in sql]
-    given = ", ".join(f"{g} AS (SELECT * FROM parquet.`{sf_dir}/{g}.parquet`)" for g in used)
-    return spark.sql(f"WITH {given} {sql}" if used else sql)
+    used = {g: read_spread(spark, f"{sf_dir}/{g}.parquet") for g in GIVEN if re.search(rf"(FROM|JOIN) {g}\b", sql)}
+    given = ", ".join(f"{g} AS (SELECT * FROM {{{g}}})" for g in used)
+    return spark.sql(f"WITH {given} {sql}", **used) if used else spark.sql(sql)
 
 
 def model_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables(lambda name: spark_sql(spark, sf_dir, MODEL[name]), tuple(MODEL))
+    return Tables(lambda name: spark_sql(spark, sf_dir, MODEL.get(name, f"SELECT * FROM {name}")), (*MODEL, *GIVEN))
 
 
 def ctes(names: str) -> str:

@@ -1,0 +1,24 @@
+"""Reading Parquet inputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+# Below this size one task reads a file as fast as many would.
+SPREAD_FROM_BYTES = 2 * 1024 * 1024
+SPLIT_BYTES = 128 * 1024 * 1024
+
+
+def read_spread(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet rows, spread over the cores when a few small files would occupy only some of them.
+
+    A file with a single row group is one task, and everything up to the first shuffle would
+    run on one core. Inputs with a full split per core, or with enough files, are left as is,
+    so the extra shuffle never moves more than one split per core.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if SPREAD_FROM_BYTES <= size < cores * SPLIT_BYTES and len(df.inputFiles()) < cores:
+        return df.repartition(cores)
+    return df

@@ -7,6 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import strip
 
@@ -20,7 +21,7 @@ class RuleFileError(RuntimeError):
     """The rule file must not be loaded."""
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def is_pattern(patterns: pd.Series) -> pd.Series:
     def compiles(p):
         try:
@@ -42,7 +43,7 @@ def check_rules(raw: DataFrame) -> DataFrame:
 
     ``raw`` holds the file as text. Rows without a pattern are skipped, not rejected.
     """
-    by_name = {c.replace("﻿", "").strip().upper(): c for c in raw.columns}
+    by_name = {c.replace("\ufeff", "").strip().upper(): c for c in raw.columns}
     missing = [c for c in HEADER if c not in by_name]
     if missing:
         raise RuleFileError(f"rule file lacks column {', '.join(missing)}")
