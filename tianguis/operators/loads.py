@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.typing import fail_when
+from .aggregates import pick_last
 
 
 def full_refresh(target: DataFrame, staged: DataFrame) -> DataFrame:
@@ -50,13 +51,16 @@ def replace_months(target: DataFrame, staged: DataFrame, column: str, months: li
 
 
 def one_row_per_key(staged: DataFrame, key: str, newest_by: str | None = None) -> DataFrame:
-    """L6 guard: duplicate keys fail, or with ``newest_by`` only the latest row of a key stays."""
-    same_key = Window.partitionBy(key)
-    if newest_by is None:
-        counted = staged.withColumn("_n", F.count(F.lit(1)).over(same_key))
-        return fail_when(counted, F.col("_n") > 1, f"staged rows repeat a {key}").drop("_n")
-    rank = F.row_number().over(same_key.orderBy(F.col(newest_by).desc_nulls_last()))
-    return staged.withColumn("_n", rank).filter("_n = 1").drop("_n")
+    """L6 guard: duplicate keys fail, or with ``newest_by`` only the latest row of a key stays.
+
+    Only keys are shuffled to look for duplicates, combined first, so a key repeated
+    millions of times is found without bringing its rows together.
+    """
+    if newest_by is not None:
+        others = [c for c in staged.columns if c != key]
+        return pick_last(staged, [key], [newest_by], others).select(*staged.columns)
+    repeated = staged.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1)
+    return fail_when(staged, repeated.agg(F.count(F.lit(1)) > 0).scalar(), f"staged rows repeat a {key}")
 
 
 def upsert(target: DataFrame, staged: DataFrame, key: str, newest_by: str | None = None) -> DataFrame:

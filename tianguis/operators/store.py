@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 from datetime import date, timedelta
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,7 +78,11 @@ class Store:
     # --- writing ---
 
     def _write(self, df: DataFrame, spec: TableSpec, location: str, mode: str) -> int:
-        """Write and count in the same pass."""
+        """Write and count in the same pass.
+
+        A lost executor may have its rows counted twice, so the count is for the log; zero
+        is exact.
+        """
         seen = Observation()
         df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         layout = [c for c in (spec.partition_by, *spec.cluster_by) if c]
@@ -90,7 +95,10 @@ class Store:
         if spec.partition_by:
             writer = writer.partitionBy(spec.partition_by)
         writer.parquet(location)
-        return seen.get["rows"]
+        try:
+            return seen.get["rows"]
+        except Py4JJavaError:
+            return 0  # the optimizer saw that there is nothing to write and dropped the count with it
 
     def create(self, spec: TableSpec) -> None:
         """The folder of a table with a fixed schema; columns and layout come from its spec."""

@@ -81,7 +81,7 @@ def match_channel(types: DataFrame, rules: DataFrame, literal_rules: int = LITER
     probes = keys.withColumn("_f", F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))))
     hits = F.filter(
         F.col("_rules"),
-        lambda r: (r["EMPRESA"] == F.col("EMPRESA")) & F.col("_name").rlike(F.concat(F.lit("(?iu)"), r["PATRON"])),
+        lambda r: (r["EMPRESA"] == F.col("EMPRESA")) & F.rlike(F.col("_name"), F.concat(F.lit("(?iu)"), r["PATRON"])),
     )
     best = (
         probes.join(grouped, "_f")
