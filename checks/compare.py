@@ -9,7 +9,7 @@ import duckdb
 
 from tianguis.session import local_session
 
-from . import ingest  # noqa: F401  (registers its queries)
+from . import operators  # noqa: F401  (registers its queries and those of ingest)
 from .oracles import SQL
 from .queries import QUERIES
 from .tables import GIVEN
