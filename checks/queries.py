@@ -21,6 +21,7 @@ from .tables import AS_OF, AS_OF_TS, model_tables
 MONTH = date(2000, 5, 1)
 SUPPLIER = 3
 
+PLANS: dict[str, Callable[[Tables], DataFrame]] = {}  # as a user calls them, amounts still decimal
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -31,6 +32,7 @@ def doubles(df: DataFrame) -> DataFrame:
 
 
 def register(name: str, plan: Callable[[Tables], DataFrame]) -> None:
+    PLANS[name] = plan
     QUERIES[name] = lambda spark, sf_dir: doubles(plan(model_tables(spark, sf_dir)))
 
 

@@ -283,8 +283,8 @@ def test_report_totals(spark):
 
 
 def test_report_of_an_empty_month_still_has_three_tables(spark, tables, tmp_path):
-    base = report.write_report(tables(), AS_OF, date(2026, 8, 15), str(tmp_path), empresa="ALMACENES PACHECO")
-    assert base.endswith("ISCAM_ALMACENESPACHECO_2026-08")
+    base = report.write_report(tables(), AS_OF, date(2026, 8, 15), str(tmp_path), empresa="ALMACENES DEL SUR")
+    assert base.endswith("ISCAM_ALMACENESDELSUR_2026-08")
     for name, count in (("ventas", 0), ("inventario", 0), ("resumen", 2)):
         assert spark.read.option("header", "true").csv(f"{base}/{name}").count() == count
     assert report.report_name("", date(2026, 8, 1)) == "ISCAM_EMPRESA_2026-08"

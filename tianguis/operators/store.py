@@ -165,13 +165,14 @@ class Store:
     def upsert(self, spec: TableSpec, rows: DataFrame, newest_by: str | None = None) -> int:
         """Rewrite only the days that hold a staged key now or will hold one.
 
-        The staged rows are written down first: they are needed three times, and their
+        The staged rows are written down first: they are needed several times, and their
         source is text. Finding the days reads two columns of the target.
         """
         stage = f"_stage/{spec.name}-{uuid.uuid4().hex}"
-        one_row_per_key(rows, spec.key, newest_by).write.parquet(f"{self.root}/{stage}")
+        rows.write.parquet(f"{self.root}/{stage}")
         try:
-            staged = self.spark.read.schema(spec.schema).parquet(f"{self.root}/{stage}")
+            landed = self.spark.read.schema(spec.schema).parquet(f"{self.root}/{stage}")
+            staged = one_row_per_key(landed, spec.key, newest_by)
             n = staged.count()
             if n == 0:
                 return 0

@@ -116,6 +116,7 @@ def stock_changes(t: Tables, as_of: date) -> DataFrame:
         )
         # The series starts with the first balance; earlier sales have no month to belong to.
         .filter(F.col("DESDE").isNotNull())
+        .withColumn("ROTACION_MES", ratio(_or_zero("UNIDADES_VENDIDAS"), F.col("EXISTENCIA_FIN_MES")))
         .drop("DESDE", "ES_SALDO")
     )
 
@@ -126,9 +127,11 @@ def fill_months(changes: DataFrame) -> DataFrame:
     dense = changes.withColumn("MES_SERIE", F.explode(span))
     own = F.col("MES_SERIE") == F.col("PERIODO")
     flows = ("ENTRADAS_UNIDADES", "SALIDAS_UNIDADES", "UNIDADES_VENDIDAS")
+    quiet_turnover = F.when(F.col("EXISTENCIA_FIN_MES") != 0, F.lit(0).cast("decimal(38,9)"))
     return dense.withColumns(
         {
             **{c: F.coalesce(F.when(own, F.col(c)), F.lit(0)) for c in flows},
+            "ROTACION_MES": F.when(own, F.col("ROTACION_MES")).otherwise(quiet_turnover),
             "ES_SALDO_INICIAL": F.coalesce(F.when(own, F.col("ES_SALDO_INICIAL")), F.lit(False)),
         }
     ).withColumn("PERIODO", F.col("MES_SERIE"))
@@ -143,8 +146,7 @@ def monthly_inventory(t: Tables, as_of: date) -> DataFrame:
     return fill_months(named).select(
         "EMPRESA", "PERIODO", "ARTICULO_ID", "ARTICULO", "LINEA_ARTICULO_ID", "LINEA", "ALMACEN_ID", "ALMACEN",
         "ENTRADAS_UNIDADES", "SALIDAS_UNIDADES", "EXISTENCIA_FIN_MES", "VALOR_COSTO_FIN_MES", "ES_SALDO_INICIAL",
-        "UNIDADES_VENDIDAS",
-        ratio(F.col("UNIDADES_VENDIDAS"), F.col("EXISTENCIA_FIN_MES")).alias("ROTACION_MES"),
+        "UNIDADES_VENDIDAS", "ROTACION_MES",
     )
 
 
