@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from datetime import date, datetime
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -166,10 +167,16 @@ SELECT CASE WHEN p_partkey % 50 = 1 THEN 'diez' ELSE concat(' ', CAST(p_partkey
 FROM part"""
 
 
+@lru_cache(maxsize=64)
+def given_table(spark: SparkSession, path: str) -> DataFrame:
+    """The plan of a given table; its files are listed and their footers read once per session."""
+    return read_spread(spark, path)
+
+
 def spark_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Run shared SQL with the given tables standing for their Parquet files."""
     # Only the tables a query names are read, so a plan shows just its own scans.
-    used = {g: read_spread(spark, f"{sf_dir}/{g}.parquet") for g in GIVEN if re.search(rf"(FROM|JOIN) {g}\b", sql)}
+    used = {g: given_table(spark, f"{sf_dir}/{g}.parquet") for g in GIVEN if re.search(rf"(FROM|JOIN) {g}\b", sql)}
     given = ", ".join(f"{g} AS (SELECT * FROM {{{g}}})" for g in used)
     return spark.sql(f"WITH {given} {sql}", **used) if used else spark.sql(sql)
 

@@ -31,7 +31,7 @@ def test_no_nested_loops_and_no_python_rows(spark, name):
 
 
 def test_month_series_needs_two_shuffles_and_no_join(spark):
-    text = plan(inventory.fill_months(inventory.stock_changes(model_tables(spark, SF_DIR), AS_OF)))
+    text = plan(inventory.fill_months(inventory.stock_changes(model_tables(spark, SF_DIR), AS_OF), {}))
     own = text[: text.index("Union")]
     assert own.count("Exchange") == 2 and "Join" not in own
 

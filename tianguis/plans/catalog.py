@@ -72,8 +72,9 @@ def match_channel(types: DataFrame, rules: DataFrame, literal_rules: int = LITER
         ]
         return types.withColumn("_regla", F.coalesce(*tests))
 
+    rules = rules.distinct()
     fragments = -(-rules.count() // literal_rules)
-    fragment = F.pmod(F.xxhash64("EMPRESA", "PATRON", "ORDEN"), F.lit(fragments)).cast("int")
+    fragment = F.pmod(F.xxhash64(*rules.columns), F.lit(fragments)).cast("int")
     grouped = rules.groupBy(fragment.alias("_f")).agg(
         F.sort_array(F.collect_list(F.struct("ORDEN", "PATRON", "FORMATO", "INCLUIR", "EMPRESA"))).alias("_rules")
     )

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.columns import day, is_invoice, is_receipt, is_return, month, not_cancelled, only, ratio, signed
 from ..model import Tables
 from ..operators.aggregates import Distinct, summarise
-from .dims import ITEM, items, sellers
-from .inventory import current_inventory, fill_months, stock_changes
-from .sales import customer_summary
+from .dims import CUSTOMER, ITEM, items, sellers
+from .inventory import fill_months, idle, stock_and_movements, stock_changes, until_next
+from .sales import recency_segment
 
 
 
@@ -60,8 +60,10 @@ def month_over_month(t: Tables) -> DataFrame:
 
 
 def customers_by_segment(t: Tables, as_of: date) -> DataFrame:
-    """Number of customers per recency segment."""
-    return customer_summary(t, as_of).groupBy("EMPRESA", "SEGMENTO_RECENCIA").agg(F.count(F.lit(1)).alias("CLIENTES"))
+    """Number of customers per recency segment, from the last invoice date alone."""
+    last = t["fact_ventas_articulo"].filter(is_invoice()).groupBy(*CUSTOMER).agg(F.max("FECHA").alias("ULTIMA_COMPRA"))
+    customers = t["dim_clientes"].select(*CUSTOMER).join(last, CUSTOMER, "left")
+    return customers.groupBy("EMPRESA", recency_segment(as_of).alias("SEGMENTO_RECENCIA")).agg(F.count(F.lit(1)).alias("CLIENTES"))
 
 
 def seller_months(t: Tables) -> DataFrame:
@@ -75,21 +77,31 @@ def seller_months(t: Tables) -> DataFrame:
 
 def inventory_scorecard(t: Tables, as_of: date) -> DataFrame:
     """Stock value, items with stock, idle rows (never sold or not in 180 days)."""
-    in_stock = F.col("EXISTENCIA") > 0
-    idle = in_stock & (F.col("ULTIMA_VENTA").isNull() | (F.col("DIAS_SIN_VENTA") > 180))
-    rows = current_inventory(t, as_of).withColumns({"CON_STOCK": in_stock, "PARADO": idle})
+    rows = stock_and_movements(t, as_of).withColumns({"CON_STOCK": F.col("EXISTENCIA") > 0, "PARADO": idle()})
     return summarise(
-        rows, ["EMPRESA"], sums={"VALOR_COSTO": F.col("VALOR_COSTO"), "SIN_MOVIMIENTO": only(F.col("PARADO"), F.lit(1))},
+        rows, ["EMPRESA"], sums={"VALOR_COSTO": F.col("COSTO"), "SIN_MOVIMIENTO": only(F.col("PARADO"), F.lit(1))},
         distinct=[Distinct("ARTICULO_ID", {"ARTICULOS_CON_EXISTENCIA": F.col("CON_STOCK")})],
     )
 
 
 def inventory_by_line(t: Tables, as_of: date) -> DataFrame:
-    """Month-end stock and units sold by product line and month."""
+    """Month-end stock and units sold by product line and month.
+
+    Closing balances add up, so movements are summed by line first and the running sum and
+    the missing months are worked out per line, not per item and warehouse.
+    """
     line = items(t).select(*ITEM, "LINEA_ARTICULO_ID", "LINEA")
-    series = fill_months(stock_changes(t, as_of).join(line, ITEM, "left"))
-    return series.groupBy("EMPRESA", "PERIODO", "LINEA_ARTICULO_ID", "LINEA").agg(
-        F.sum("EXISTENCIA_FIN_MES").alias("EXISTENCIA_FIN_MES"), F.sum("UNIDADES_VENDIDAS").alias("UNIDADES_VENDIDAS")
+    keys = ["EMPRESA", "LINEA_ARTICULO_ID", "LINEA"]
+    moved = stock_changes(t, as_of).join(line, ITEM, "left").groupBy(*keys, "PERIODO").agg(
+        F.sum(F.col("ENTRADAS_UNIDADES") - F.col("SALIDAS_UNIDADES")).alias("NETO"),
+        F.sum("UNIDADES_VENDIDAS").alias("UNIDADES_VENDIDAS"),
+    )
+    series = Window.partitionBy(*keys).orderBy("PERIODO")
+    changes = moved.withColumns(
+        {"EXISTENCIA_FIN_MES": F.sum("NETO").over(series), "HASTA": until_next(series, F.trunc(day(as_of), "MM"))}
+    )
+    return fill_months(changes, {"UNIDADES_VENDIDAS": F.lit(0)}).select(
+        "EMPRESA", "PERIODO", "LINEA_ARTICULO_ID", "LINEA", "EXISTENCIA_FIN_MES", "UNIDADES_VENDIDAS"
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.columns import day, days_between, is_invoice, is_receipt, month, not_cancelled, ratio
@@ -25,8 +25,8 @@ def latest_snapshot(t: Tables, only_items: DataFrame | None = None) -> DataFrame
     return rows if only_items is None else rows.join(only_items, ITEM, "left_semi")
 
 
-def current_inventory(t: Tables, as_of: date, only_items: DataFrame | None = None) -> DataFrame:
-    """Newest stock per item and warehouse with cost, 90-day sales, cover and last movements."""
+def stock_and_movements(t: Tables, as_of: date, only_items: DataFrame | None = None) -> DataFrame:
+    """Newest stock per item and warehouse with recent sales and last movements, ids only."""
     recent = F.col("FECHA") >= F.date_sub(day(as_of), 90)
     # Recent units and last sale come from one pass over sales.
     sold = t["fact_ventas_articulo"].groupBy(*STOCK_KEY).agg(
@@ -36,10 +36,19 @@ def current_inventory(t: Tables, as_of: date, only_items: DataFrame | None = Non
     bought = (
         t["fact_compras_partidas"].filter(is_receipt() & not_cancelled()).groupBy(*ITEM).agg(F.max("FECHA").alias("ULTIMA_COMPRA"))
     )
-    rows = latest_snapshot(t, only_items).join(sold, STOCK_KEY, "left").join(bought, ITEM, "left")
+    return (
+        latest_snapshot(t, only_items)
+        .join(sold, STOCK_KEY, "left")
+        .join(bought, ITEM, "left")
+        .withColumn("DIAS_SIN_VENTA", days_between(day(as_of), F.col("ULTIMA_VENTA")))
+    )
+
+
+def current_inventory(t: Tables, as_of: date, only_items: DataFrame | None = None) -> DataFrame:
+    """Newest stock per item and warehouse with cost, 90-day sales, cover and last movements."""
     units = F.coalesce("VENDIDAS", F.lit(0))
     per_day = ratio(units, F.lit(90))
-    return with_item_and_warehouse(rows, t).select(
+    return with_item_and_warehouse(stock_and_movements(t, as_of, only_items), t).select(
         "EMPRESA", F.col("_snapshot_date").alias("FECHA_SNAPSHOT"),
         "ARTICULO_ID", "ARTICULO", "ARTICULO_ESTATUS", "LINEA_ARTICULO_ID", "LINEA", "ALMACEN_ID", "ALMACEN",
         "EXISTENCIA", F.col("COSTO").alias("VALOR_COSTO"),
@@ -47,25 +56,28 @@ def current_inventory(t: Tables, as_of: date, only_items: DataFrame | None = Non
         units.alias("UNIDADES_90D"),
         per_day.alias("VENTA_DIARIA_PROM"),
         ratio(F.col("EXISTENCIA"), per_day).alias("DIAS_INVENTARIO"),
-        "ULTIMA_VENTA",
-        days_between(day(as_of), F.col("ULTIMA_VENTA")).alias("DIAS_SIN_VENTA"),
-        "ULTIMA_COMPRA",
+        "ULTIMA_VENTA", "DIAS_SIN_VENTA", "ULTIMA_COMPRA",
     )
 
 
+def idle() -> Column:
+    """In stock, and never sold or not in 180 days."""
+    unsold = F.col("ULTIMA_VENTA").isNull() | (F.col("DIAS_SIN_VENTA") > 180)
+    return (F.col("EXISTENCIA") > 0) & unsold
+
+
 def idle_items(t: Tables, as_of: date) -> DataFrame:
     """Stock on hand that was never sold or not in 180 days."""
-    idle = F.col("DIAS_SIN_VENTA")
-    never = F.col("ULTIMA_VENTA").isNull()
+    days = F.col("DIAS_SIN_VENTA")
     age = (
-        F.when(never, "Nunca vendido (3 años)")
-        .when(idle > 365, "Más de 1 año")
-        .when(idle > 180, "6 a 12 meses")
+        F.when(F.col("ULTIMA_VENTA").isNull(), "Nunca vendido (3 años)")
+        .when(days > 365, "Más de 1 año")
+        .when(days > 180, "6 a 12 meses")
         .otherwise("Menos de 6 meses")
     )
     return (
         current_inventory(t, as_of)
-        .filter((F.col("EXISTENCIA") > 0) & (never | (idle > 180)))
+        .filter(idle())
         .select(
             "EMPRESA", "ARTICULO_ID", "ARTICULO", "ARTICULO_ESTATUS", "LINEA", "ALMACEN_ID", "ALMACEN",
             "EXISTENCIA", "VALOR_COSTO", "ULTIMA_VENTA", "DIAS_SIN_VENTA", "ULTIMA_COMPRA",
@@ -78,24 +90,28 @@ def _or_zero(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0))
 
 
-def stock_changes(t: Tables, as_of: date) -> DataFrame:
+def stock_changes(t: Tables, as_of: date, with_sales: bool = True) -> DataFrame:
     """Month-end stock per item and warehouse, one row per month *with* a movement or a sale.
 
     ``HASTA`` is the last month the row's closing balance stays valid. Balances and sales
     meet by union and one aggregation instead of a join, and the window runs over months
-    that were already added up, so its groups hold at most one row per month.
+    that were already added up, so its groups hold at most one row per month. Without
+    sales, UNIDADES_VENDIDAS is zero and the sales table is not read.
     """
     last_month = F.trunc(day(as_of), "MM")
     balances = t["fact_saldos_mensuales"].filter(F.col("PERIODO") <= last_month).select(
         *STOCK_KEY, "PERIODO", "ENTRADAS_UNIDADES", "SALIDAS_UNIDADES", "ENTRADAS_COSTO", "SALIDAS_COSTO",
         "ES_SALDO_INICIAL", F.lit(True).alias("ES_SALDO"),
     )
-    sales = t["fact_ventas_articulo"].filter(F.col("FECHA") <= F.last_day(day(as_of))).select(
-        *STOCK_KEY, month(F.col("FECHA")).alias("PERIODO"), "UNIDADES", F.lit(False).alias("ES_SALDO")
-    )
+    if with_sales:
+        sales = t["fact_ventas_articulo"].filter(F.col("FECHA") <= F.last_day(day(as_of))).select(
+            *STOCK_KEY, month(F.col("FECHA")).alias("PERIODO"), "UNIDADES", F.lit(False).alias("ES_SALDO")
+        )
+        both = balances.unionByName(sales, allowMissingColumns=True)
+    else:
+        both = balances.withColumn("UNIDADES", F.lit(0))
     monthly = (
-        balances.unionByName(sales, allowMissingColumns=True)
-        .groupBy(*STOCK_KEY, "PERIODO")
+        both.groupBy(*STOCK_KEY, "PERIODO")
         .agg(
             *[F.sum(c).alias(c) for c in ("ENTRADAS_UNIDADES", "SALIDAS_UNIDADES", "ENTRADAS_COSTO", "SALIDAS_COSTO")],
             F.sum("UNIDADES").alias("UNIDADES_VENDIDAS"),
@@ -103,38 +119,40 @@ def stock_changes(t: Tables, as_of: date) -> DataFrame:
             F.bool_or("ES_SALDO").alias("ES_SALDO"),
         )
     )
-    pair = Window.partitionBy(*STOCK_KEY)
-    series = pair.orderBy("PERIODO")
+    series = Window.partitionBy(*STOCK_KEY).orderBy("PERIODO")
+    flows = ("ENTRADAS_UNIDADES", "SALIDAS_UNIDADES", "UNIDADES_VENDIDAS")
     return (
         monthly.withColumns(
             {
                 "DESDE": F.min(F.when(F.col("ES_SALDO"), F.col("PERIODO"))).over(series),
                 "EXISTENCIA_FIN_MES": F.sum(_or_zero("ENTRADAS_UNIDADES") - _or_zero("SALIDAS_UNIDADES")).over(series),
                 "VALOR_COSTO_FIN_MES": F.sum(_or_zero("ENTRADAS_COSTO") - _or_zero("SALIDAS_COSTO")).over(series),
-                "HASTA": F.coalesce(F.add_months(F.lead("PERIODO").over(series), -1), last_month),
+                "HASTA": until_next(series, last_month),
             }
         )
         # The series starts with the first balance; earlier sales have no month to belong to.
         .filter(F.col("DESDE").isNotNull())
-        .withColumn("ROTACION_MES", ratio(_or_zero("UNIDADES_VENDIDAS"), F.col("EXISTENCIA_FIN_MES")))
-        .drop("DESDE", "ES_SALDO")
+        .withColumns({**{c: _or_zero(c) for c in flows}, "ES_SALDO_INICIAL": F.coalesce("ES_SALDO_INICIAL", F.lit(False))})
+        .drop("DESDE", "ES_SALDO", "ENTRADAS_COSTO", "SALIDAS_COSTO")
     )
 
 
-def fill_months(changes: DataFrame) -> DataFrame:
-    """Repeat each closing balance until the next change: a dense monthly series without a join."""
+def until_next(series: WindowSpec, last_month: Column) -> Column:
+    """Last month before the next row of the series."""
+    return F.coalesce(F.add_months(F.lead("PERIODO").over(series), -1), last_month)
+
+
+def fill_months(changes: DataFrame, quiet: dict[str, Column]) -> DataFrame:
+    """A dense monthly series without a join: each row is repeated from PERIODO to HASTA.
+
+    ``quiet`` holds what a column says in the repeated months; other columns (balances,
+    names) keep their value.
+    """
     span = F.sequence("PERIODO", "HASTA", F.expr("interval 1 month"))
     dense = changes.withColumn("MES_SERIE", F.explode(span))
     own = F.col("MES_SERIE") == F.col("PERIODO")
-    flows = ("ENTRADAS_UNIDADES", "SALIDAS_UNIDADES", "UNIDADES_VENDIDAS")
-    quiet_turnover = F.when(F.col("EXISTENCIA_FIN_MES") != 0, F.lit(0).cast("decimal(38,9)"))
-    return dense.withColumns(
-        {
-            **{c: F.coalesce(F.when(own, F.col(c)), F.lit(0)) for c in flows},
-            "ROTACION_MES": F.when(own, F.col("ROTACION_MES")).otherwise(quiet_turnover),
-            "ES_SALDO_INICIAL": F.coalesce(F.when(own, F.col("ES_SALDO_INICIAL")), F.lit(False)),
-        }
-    ).withColumn("PERIODO", F.col("MES_SERIE"))
+    filled = {c: F.when(own, F.col(c)).otherwise(value) for c, value in quiet.items()}
+    return dense.withColumns(filled).withColumn("PERIODO", F.col("MES_SERIE")).drop("MES_SERIE", "HASTA")
 
 
 def monthly_inventory(t: Tables, as_of: date) -> DataFrame:
@@ -142,8 +160,19 @@ def monthly_inventory(t: Tables, as_of: date) -> DataFrame:
 
     Names are attached before the months are filled in, when there are fewer rows.
     """
-    named = with_item_and_warehouse(stock_changes(t, as_of), t)
-    return fill_months(named).select(
+    closing = F.col("EXISTENCIA_FIN_MES")
+    named = with_item_and_warehouse(stock_changes(t, as_of), t).withColumn(
+        "ROTACION_MES", ratio(F.col("UNIDADES_VENDIDAS"), closing)
+    )
+    zero = F.lit(0)
+    quiet = {
+        "ENTRADAS_UNIDADES": zero,
+        "SALIDAS_UNIDADES": zero,
+        "UNIDADES_VENDIDAS": zero,
+        "ES_SALDO_INICIAL": F.lit(False),
+        "ROTACION_MES": F.when(closing != 0, zero),
+    }
+    return fill_months(named, quiet).select(
         "EMPRESA", "PERIODO", "ARTICULO_ID", "ARTICULO", "LINEA_ARTICULO_ID", "LINEA", "ALMACEN_ID", "ALMACEN",
         "ENTRADAS_UNIDADES", "SALIDAS_UNIDADES", "EXISTENCIA_FIN_MES", "VALOR_COSTO_FIN_MES", "ES_SALDO_INICIAL",
         "UNIDADES_VENDIDAS", "ROTACION_MES",

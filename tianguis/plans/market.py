@@ -71,10 +71,10 @@ def market_sales(t: Tables, mes: date | None = None) -> DataFrame:
 
 def market_inventory(t: Tables, as_of: date, mes: date | None = None) -> DataFrame:
     """Month-end stock and value with item codes and supplier. ``mes`` computes that month alone."""
-    stock = stock_changes(t, as_of) if mes is None else closing_stock(t, as_of, mes)
+    stock = stock_changes(t, as_of, with_sales=False) if mes is None else closing_stock(t, as_of, mes)
     labelled = _label_items(stock, t).join(warehouses(t), WAREHOUSE, "left")
     if mes is None:
-        labelled = fill_months(labelled)
+        labelled = fill_months(labelled, {})
     return labelled.select(
         "EMPRESA", F.col("PERIODO").alias("MES"), "ALMACEN_ID", "ALMACEN", "ARTICULO_ID",
         "CLAVE_PRINCIPAL", "CODIGO_BARRAS", "DESCRIPCION", "UNIDAD_VENTA", "PROVEEDOR",

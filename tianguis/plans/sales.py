@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import day, days_between, is_invoice, is_return, month, months_back, only, ratio
@@ -68,6 +68,17 @@ def customer_month_sales(t: Tables) -> DataFrame:
     )
 
 
+def recency_segment(as_of: date) -> Column:
+    idle = days_between(day(as_of), F.col("ULTIMA_COMPRA"))
+    return (
+        F.when(F.col("ULTIMA_COMPRA").isNull(), "Sin ventas")
+        .when(idle <= 30, "Activo")
+        .when(idle <= 90, "En riesgo")
+        .when(idle <= 180, "Inactivo")
+        .otherwise("Perdido")
+    )
+
+
 def customer_summary(t: Tables, as_of: date) -> DataFrame:
     """One row per customer, sold to or not: recency segment, last 12 months, growth."""
     fecha = F.col("FECHA")
@@ -89,13 +100,6 @@ def customer_summary(t: Tables, as_of: date) -> DataFrame:
         ],
     )
     idle = days_between(day(as_of), F.col("ULTIMA_COMPRA"))
-    segment = (
-        F.when(F.col("ULTIMA_COMPRA").isNull(), "Sin ventas")
-        .when(idle <= 30, "Activo")
-        .when(idle <= 90, "En riesgo")
-        .when(idle <= 180, "Inactivo")
-        .otherwise("Perdido")
-    )
     current, previous = F.col("IMPORTE_12M"), F.col("IMPORTE_12M_ANTERIOR")
     return (
         t["dim_clientes"]
@@ -106,7 +110,7 @@ def customer_summary(t: Tables, as_of: date) -> DataFrame:
             "EMPRESA", "CLIENTE_ID", "CLIENTE", "ESTATUS", "VENDEDOR_ID", "VENDEDOR",
             "PRIMERA_COMPRA", "ULTIMA_COMPRA",
             idle.alias("DIAS_SIN_COMPRAR"),
-            segment.alias("SEGMENTO_RECENCIA"),
+            recency_segment(as_of).alias("SEGMENTO_RECENCIA"),
             "IMPORTE_12M", "UTILIDAD_12M", "FACTURAS_12M", "MESES_ACTIVOS_12M",
             ratio(current, F.col("FACTURAS_12M")).alias("TICKET_PROMEDIO_12M"),
             "IMPORTE_12M_ANTERIOR",

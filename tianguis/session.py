@@ -15,6 +15,18 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions(input_bytes: int, cores: int) -> int:
+    """Reduce tasks to start from for a job over ``input_bytes``; AQE merges the small ones.
+
+    Set it as ``spark.sql.shuffle.partitions`` on a cluster: too many is cheap to merge, too
+    few means partitions that spill. 100 TB gives about 800,000 before pruning; an input cut
+    down by partition filters and column selection counts with what is left.
+    """
+    return max(cores, -(-input_bytes // PARTITION_BYTES))
+
 
 def local_session(cpus: int | str = "*", **extra: str) -> SparkSession:
     """A single-process session for tests and the bench; a cluster sets its own master."""
