@@ -155,8 +155,10 @@ USING (ARTICULO_ID)""",
 
 
 def _month_grid(t: Tables) -> DataFrame:
-    first = t["fact_saldos_mensuales"].groupBy(*inventory.STOCK_KEY).agg(F.min("PERIODO").alias("DESDE"))
-    span = F.sequence("DESDE", F.trunc(day(AS_OF), "MM"), F.expr("interval 1 month"))
+    last = F.trunc(day(AS_OF), "MM")
+    rows = t["fact_saldos_mensuales"].filter(F.col("PERIODO") <= last)  # a sequence must not run backwards
+    first = rows.groupBy(*inventory.STOCK_KEY).agg(F.min("PERIODO").alias("DESDE"))
+    span = F.sequence("DESDE", last, F.expr("interval 1 month"))
     return first.select("ARTICULO_ID", "ALMACEN_ID", F.explode(span).alias("PERIODO"))
 
 

@@ -14,7 +14,7 @@ from tianguis.plans import inventory, market
 from tianguis.sources.files import read_spread
 from tianguis.sources.typing import type_rows
 
-from conftest import SF_DIR
+from conftest import SF_DIR, rows
 
 
 def plan(df) -> str:
@@ -36,6 +36,22 @@ def test_month_series_needs_two_shuffles_and_no_join(spark):
     assert own.count("Exchange") == 2 and "Join" not in own
 
 
+@pytest.mark.parametrize("name", ["V05_margen_linea_mes", "V13_iscam_ventas_mensual", "R1_ventas_zona"])
+def test_large_dimensions_give_the_same_rows_after_summing_first(spark, name):
+    def run():
+        df = PLANS[name](model_tables(spark, SF_DIR))
+        return rows(df.select(*sorted(df.columns))), plan(df).count("Exchange hashpartitioning")
+
+    small, shuffles = run()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        large, more_shuffles = run()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert large == small and more_shuffles > shuffles
+
+
 def test_narrow_scans(spark):
     text = plan(PLANS["V05_margen_linea_mes"](model_tables(spark, SF_DIR)))
     lineitem = next(line for line in text.splitlines() if "lineitem.parquet" in line)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import day, month
 from ..model import Tables
+from ..operators.joins import summed_unless_broadcast
 from .catalog import DEFAULT_CHANNEL, customer_type_channels, item_codes
 from .dims import CUSTOMER, ITEM, WAREHOUSE, default_supplier_name, warehouses
 from .inventory import closing_stock, fill_months, stock_changes
@@ -38,23 +39,24 @@ def market_sales(t: Tables, mes: date | None = None) -> DataFrame:
     channels = customer_type_channels(t, with_company=True).select(
         "EMPRESA", "TIPO_CLIENTE_ID", "FORMATO", "INCLUIR", "ZONA"
     )
-    customers = (
-        t["dim_clientes"].select(*CUSTOMER, "TIPO_CLIENTE_ID")
-        .join(channels, ["EMPRESA", "TIPO_CLIENTE_ID"], "left")
-        .drop("TIPO_CLIENTE_ID")
+    customers = t["dim_clientes"].select(*CUSTOMER, "TIPO_CLIENTE_ID")
+    sold = summed_unless_broadcast(
+        sales.withColumn("MES", month(F.col("FECHA"))),
+        customers,
+        ["EMPRESA", "MES", "CLIENTE_ID", "ALMACEN_ID", "ARTICULO_ID"],
+        {n: F.col(c) for n, c in MEASURES.items()},
     )
+    by_channel = customers.join(channels, ["EMPRESA", "TIPO_CLIENTE_ID"], "left").drop("TIPO_CLIENTE_ID")
     keys = ["EMPRESA", "MES", "FORMATO", "INCLUIR", "ZONA", "ALMACEN_ID", "ARTICULO_ID"]
     # Only the channel decides the group; item and warehouse names join the far fewer totals.
     totals = (
-        sales.join(customers, CUSTOMER, "left")
-        .select(
-            "EMPRESA",
-            month(F.col("FECHA")).alias("MES"),
-            F.coalesce("FORMATO", F.lit(DEFAULT_CHANNEL)).alias("FORMATO"),
-            F.coalesce("INCLUIR", F.lit(True)).alias("INCLUIR"),
-            F.coalesce("ZONA", F.lit(NO_ZONE)).alias("ZONA"),
-            "ALMACEN_ID", "ARTICULO_ID",
-            *[F.col(c).alias(n) for n, c in MEASURES.items()],
+        sold.join(by_channel, CUSTOMER, "left")
+        .withColumns(
+            {
+                "FORMATO": F.coalesce("FORMATO", F.lit(DEFAULT_CHANNEL)),
+                "INCLUIR": F.coalesce("INCLUIR", F.lit(True)),
+                "ZONA": F.coalesce("ZONA", F.lit(NO_ZONE)),
+            }
         )
         .groupBy(*keys)
         .agg(*[F.sum(n).alias(n) for n in MEASURES])

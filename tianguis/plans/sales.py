@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import day, days_between, is_invoice, is_return, month, months_back, only, ratio
 from ..model import Tables
 from ..operators.aggregates import Distinct, summarise
+from ..operators.joins import summed_unless_broadcast
 from .catalog import DEFAULT_CHANNEL, customer_type_channels
 from .dims import CUSTOMER, items, sellers, with_item_and_warehouse
 
@@ -122,10 +123,15 @@ def customer_summary(t: Tables, as_of: date) -> DataFrame:
 def line_margin(t: Tables) -> DataFrame:
     """Margin per company, month and product line."""
     lines = items(t).select("EMPRESA", "ARTICULO_ID", "LINEA_ARTICULO_ID", "LINEA", "GRUPO_LINEA_ID")
-    sold = t["fact_ventas_articulo"].join(lines, ["EMPRESA", "ARTICULO_ID"], "left")
+    sold = summed_unless_broadcast(
+        t["fact_ventas_articulo"].withColumn("MES", month(F.col("FECHA"))),
+        t["dim_articulos"].select("EMPRESA", "ARTICULO_ID", "LINEA_ARTICULO_ID"),
+        ["EMPRESA", "MES", "ARTICULO_ID", "CLIENTE_ID"],
+        _sums("UNIDADES", *AMOUNTS),
+    ).join(lines, ["EMPRESA", "ARTICULO_ID"], "left")
     keys = ["EMPRESA", "MES", "LINEA_ARTICULO_ID", "LINEA", "GRUPO_LINEA_ID"]
     return summarise(
-        sold.withColumn("MES", month(F.col("FECHA"))),
+        sold,
         keys,
         sums=_sums("UNIDADES", *AMOUNTS),
         distinct=[
