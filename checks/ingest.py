@@ -63,7 +63,7 @@ both(
     "S3_metadatos",
     lambda t: finalise(
         t["textos_documentos"], columns("DOCTO_VE_ID L!, FECHA D!, EMPRESA S!, _synced_at T!"), COMPANY, datetime(2001, 8, 1, 3, 0, 0)
-    ).withColumn("_synced_at", F.col("_synced_at").cast("string")),
+    ).withColumn("_synced_at", F.date_format(F.to_utc_timestamp("_synced_at", F.current_timezone()), "yyyy-MM-dd HH:mm:ss")),
     "SELECT o_orderkey AS DOCTO_VE_ID, CAST(o_orderdate AS DATE) AS FECHA, 'E1' AS EMPRESA, '2001-08-01 03:00:00' AS _synced_at FROM orders",
 )
 _RULE_TEXT = """reglas AS (SELECT TRY_CAST(trim(ORDEN) AS BIGINT) AS ORDEN, trim(patron) AS PATRON, trim(FORMATO) AS FORMATO,

@@ -1,7 +1,7 @@
 """Golden cases for S1-S9 and T1-T3."""
 
 import json
-from datetime import date, datetime
+from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 
 import pytest
@@ -75,6 +75,12 @@ def test_finalise_adds_one_load_time(spark):
     schema = columns("ID L!, EMPRESA S!, _synced_at T!")
     out = finalise(raw, schema, "E1", datetime(2026, 9, 10, 4, 0, 0)).collect()
     assert {(r.EMPRESA, r._synced_at) for r in out} == {("E1", out[0]._synced_at)}
+    mexico = datetime(2026, 9, 9, 22, tzinfo=timezone(timedelta(hours=-6)))
+    for zone in ("UTC", "America/Mexico_City"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        seconds = {finalise(raw, schema, "E1", at).selectExpr("unix_seconds(_synced_at)").first()[0] for at in (mexico, datetime(2026, 9, 10, 4))}
+        assert seconds == {1789012800}
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert finalise(raw, None, "E1", datetime(2026, 9, 10)).schema["ID"].dataType.simpleString() == "string"
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,6 +40,16 @@ def day(d: date) -> Column:
     return F.lit(d)
 
 
+def utc(at: datetime, to: T.DataType | None = None) -> Column:
+    """A moment as a timestamp (or, for ``to`` without zone, its UTC clock). A naive time is UTC."""
+    if at.tzinfo is not None:
+        at = at.astimezone(timezone.utc).replace(tzinfo=None)
+    clock = at.isoformat(sep=" ")
+    if isinstance(to, T.TimestampNTZType):
+        return F.lit(clock).cast("timestamp_ntz")
+    return F.lit(clock + "Z").cast("timestamp")
+
+
 def days_between(later: Column, earlier: Column) -> Column:
     return F.date_diff(later, earlier).cast("bigint")
 

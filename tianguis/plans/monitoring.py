@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import utc
 from ..model import Tables
 from ..operators.aggregates import pick_last
 
@@ -16,7 +17,7 @@ STALE_AFTER_HOURS = 30
 def load_status(t: Tables, now: datetime) -> DataFrame:
     """The latest run per table, whatever its outcome, and whole hours since."""
     log = t["_etl_sync_state"]
-    at = F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz").cast(log.schema["last_run_at"].dataType)
+    at = utc(now, log.schema["last_run_at"].dataType)
     columns = ["last_run_at", "last_sync_date", "records_synced", "status"]
     return pick_last(log, ["table_name"], ["last_run_at"], columns).select(
         "table_name", "last_sync_date", "last_run_at", "records_synced", "status",

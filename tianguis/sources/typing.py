@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import blank_to_null
+from ..functions.columns import blank_to_null, utc
 
 
 def fail_when(df: DataFrame, bad: Column, message: str) -> DataFrame:
@@ -44,9 +44,8 @@ def type_rows(rows: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def with_meta(rows: DataFrame, empresa: str, synced_at: datetime) -> DataFrame:
-    """S3: company and one load time for the whole batch (a UTC time, given by the caller)."""
-    at = F.lit(synced_at.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp")
-    return rows.withColumns({"EMPRESA": F.lit(empresa), "_synced_at": at})
+    """S3: company and one load time for the whole batch, given by the caller."""
+    return rows.withColumns({"EMPRESA": F.lit(empresa), "_synced_at": utc(synced_at)})
 
 
 def require(rows: DataFrame, names: list[str], table: str = "") -> DataFrame:
