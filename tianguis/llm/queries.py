@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tianguis.llm.exact_dedup import exact_duplicates
 from tianguis.llm.quality_rules import quality_rules
+from tianguis.llm.secrets import KINDS, base_spans, secret_spans, span_list
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -38,3 +40,17 @@ FROM d
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_spans(table(spark, sf_dir, "documents"))
+    of_kind = lambda k: F.size(F.filter("spans", lambda s: s["rank"] == KINDS.index(k))).cast("long")
+    return found.select(
+        "doc_id",
+        *[of_kind(k).alias(f"n_{k}") for k in KINDS[:3]],
+        F.sha2(span_list(base_spans(F.col("spans"))), 256).alias("base_sha256"),
+        span_list(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
+        F.size(F.filter("spans", lambda s: ~s["live"])).cast("long").alias("n_copied"),
+    )
