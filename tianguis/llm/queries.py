@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tianguis.llm.exact_dedup import exact_duplicates
 from tianguis.llm.quality_rules import quality_rules
 from tianguis.llm.secrets import KINDS, base_spans, secret_spans, span_list
+from tianguis.llm.staging import new_path
+from tianguis.llm.warc import read_warc, write_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -54,3 +56,14 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
         F.size(F.filter("spans", lambda s: ~s["live"])).cast("long").alias("n_copied"),
     )
+
+
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    return (
+        read_warc(spark, path)
+        .filter("kind = 'record'")
+        .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    )
