@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tianguis.llm.bpe import bpe_digests
 from tianguis.llm.exact_dedup import exact_duplicates
 from tianguis.llm.quality_rules import quality_rules
 from tianguis.llm.secrets import KINDS, base_spans, secret_spans, span_list
@@ -67,3 +69,8 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         .filter("kind = 'record'")
         .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     )
+
+
+@query
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
