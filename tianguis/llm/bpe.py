@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tianguis.llm.tokens import TextEncoder, load
+from tianguis.llm.tokens import Chunks, TextEncoder, load
 
 
 def byte_characters() -> list[str]:
@@ -31,6 +31,15 @@ class Piece(NamedTuple):
     tokens: str
 
 
+def joined(parts: list[Piece]) -> Piece:
+    if len(parts) == 1:
+        return parts[0]
+    if not parts:
+        return Piece(0, "", "")
+    counts, ids, tokens = zip(*parts)
+    return Piece(sum(counts), " ".join(ids), " ".join(tokens))
+
+
 class WordBpe:
     """The vocabulary of a tokenizer file and the merging of single words."""
 
@@ -48,16 +57,17 @@ class WordBpe:
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(split["pattern"]["Regex"])
         self.bytes = byte_characters()
+        self.known = Chunks(self.of_word)
         self.encoder = TextEncoder(self.tokenizer, self.of_chunk, self.of_text, lambda i: self.piece([i]))
 
     def piece(self, ids: list[int]) -> Piece:
         return Piece(len(ids), " ".join(map(str, ids)), " ".join([self.names[i] for i in ids]))
 
+    def of_word(self, word: str) -> Piece:
+        return self.piece(self.merged("".join([self.bytes[b] for b in word.encode()])))
+
     def of_chunk(self, chunk: str) -> Piece:
-        ids = []
-        for word in self.words.findall(chunk.lower()):
-            ids += self.merged("".join([self.bytes[b] for b in word.encode()]))
-        return self.piece(ids)
+        return joined([self.known[word] for word in self.words.findall(chunk.lower())])
 
     def of_text(self, text: str) -> Iterator[Piece]:
         """Text in which normalisation needs the tokenizer's own; the words are merged here all the same."""
@@ -72,60 +82,50 @@ class WordBpe:
         is the lowest rank and, of equal ones, the leftmost. The root names the next merge; a merge changes the leaf of
         its own pair, of the pair before and of the symbol taken away, each up to the root.
         """
-        merges, none = self.merges, self.none
+        merges = self.merges
         ids = [self.vocab[c] for c in word[:-1]] + [self.vocab[word[-1] + self.suffix]]
         n = len(ids)
         if n == 1:
             return ids
         leaves = 1 << (n - 2).bit_length()
-        never = none * leaves
+        never = self.none * leaves
         tree = [never] * (2 * leaves)
-        for k in range(n - 1):
-            if (found := merges.get((ids[k], ids[k + 1]))) is not None:
-                tree[leaves + k] = found[0] * leaves + k
+        for k, pair in enumerate(zip(ids, ids[1:])):
+            if pair in merges:
+                tree[leaves + k] = merges[pair][0] * leaves + k
         for node in range(leaves - 1, 0, -1):
             a, b = tree[2 * node], tree[2 * node + 1]
             tree[node] = a if a < b else b
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-
-        def put(k: int, key: int) -> None:
-            node = leaves + k
-            tree[node] = key
-            while node > 1:
-                node >>= 1
-                a, b = tree[2 * node], tree[2 * node + 1]
-                least = a if a < b else b
-                if tree[node] == least:
-                    break
-                tree[node] = least
-
-        def renew(k: int, next_k: int) -> None:
-            found = merges.get((ids[k], ids[next_k]))
-            put(k, never if found is None else found[0] * leaves + k)
-
         while tree[1] < never:
             k = tree[1] % leaves
             gone = after[k]
+            end = after[k] = after[gone]
             ids[k] = merges[ids[k], ids[gone]][1]
             ids[gone] = -1
-            after[k] = after[gone]
-            if gone < n - 1:
-                put(gone, never)
-            if after[k] < n:
-                before[after[k]] = k
-                renew(k, after[k])
+            changed = [leaves + gone] if gone < n - 1 else []
+            for node in changed:
+                tree[node] = never
+            if end < n:
+                before[end] = k
+                pair = (ids[k], ids[end])
+                tree[leaves + k] = merges[pair][0] * leaves + k if pair in merges else never
             else:
-                put(k, never)
-            if before[k] >= 0:
-                renew(before[k], k)
+                tree[leaves + k] = never
+            changed.append(leaves + k)
+            if (first := before[k]) >= 0:
+                pair = (ids[first], ids[k])
+                tree[leaves + first] = merges[pair][0] * leaves + first if pair in merges else never
+                changed.append(leaves + first)
+            for node in changed:
+                while node > 1:
+                    node >>= 1
+                    a, b = tree[2 * node], tree[2 * node + 1]
+                    tree[node] = a if a < b else b
         return [i for i in ids if i >= 0]
 
     def encode(self, text: str) -> Piece:
-        parts = [p for p in self.encoder.parts(text) if p.n]
-        if not parts:
-            return Piece(0, "", "")
-        counts, ids, tokens = zip(*parts)
-        return Piece(sum(counts), " ".join(ids), " ".join(tokens))
+        return joined([p for p in self.encoder.parts(text) if p.n])
 
     def decode(self, ids: list[int]) -> str:
         """Token strings joined by spaces, which is what a file without a decoder asks for."""

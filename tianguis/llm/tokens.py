@@ -27,16 +27,24 @@ def load(path: str) -> Tokenizer:
 
 
 class Chunks(dict, Generic[Encoded]):
-    """Encodings of chunks without white space, computed on demand and dropped all at once when there are too many."""
+    """Encodings of chunks without white space, computed on demand.
+
+    When there are `CACHED_CHUNKS` of them they become the old generation, out of which those asked for again return;
+    the old generation before is dropped.
+    """
 
     def __init__(self, encode: Callable[[str], Encoded]):
         super().__init__()
         self.encode = encode
+        self.old: dict[str, Encoded] = {}
 
     def __missing__(self, chunk: str) -> Encoded:
-        encoded = self.encode(chunk)
+        encoded = self.old.get(chunk)
+        if encoded is None:
+            encoded = self.encode(chunk)
         if len(chunk) <= CACHED_LENGTH:
             if len(self) >= CACHED_CHUNKS:
+                self.old = dict(self)
                 self.clear()
             self[chunk] = encoded
         return encoded
