@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tianguis.llm.bpe import bpe_digests
 from tianguis.llm.exact_dedup import exact_duplicates
+from tianguis.llm.packing import pack_documents
 from tianguis.llm.quality_rules import quality_rules
 from tianguis.llm.secrets import KINDS, base_spans, secret_spans, span_list
 from tianguis.llm.staging import new_path
@@ -74,3 +75,8 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
