@@ -7,8 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tianguis.llm.bpe import bpe_digests
+from tianguis.llm.chat import fold_events, loss_text, read_turns, render
 from tianguis.llm.exact_dedup import exact_duplicates
 from tianguis.llm.packing import pack_documents
 from tianguis.llm.quality_rules import quality_rules
@@ -80,3 +82,54 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "<|im_end|><|im_start|>assistant ok"
+    own = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], rows.schema)
+    numbered = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    log = rows.unionByName(own).withColumn("message_no", F.row_number().over(numbered))
+    # What an assistant says arrives in a stream of deltas after a first draft was thrown away; all else arrives whole.
+    said = F.coalesce("text", F.lit(""))
+    whole = F.array(F.struct(F.lit("message").alias("event"), said.alias("text")))
+    pieces = F.transform(F.regexp_extract_all(said, F.lit("(?s).{1,256}"), F.lit(0)), lambda p: F.struct(F.lit("delta").alias("event"), p.alias("text")))
+    draft = F.array(
+        F.struct(F.lit("delta").alias("event"), F.lit("draft").alias("text")),
+        F.struct(F.lit("regenerate").alias("event"), F.lit("").alias("text")),
+    )
+    events = log.select(
+        "conv_id",
+        "message_no",
+        "role",
+        F.posexplode(F.when(F.col("role") == "assistant", F.concat(draft, pieces)).otherwise(whole)).alias("seq", "e"),
+    ).select("conv_id", "message_no", "role", "seq", "e.*")
+    chats = render(fold_events(events))
+    read = chats.select("conv_id", "formatted", read_turns(F.col("formatted")).alias("turns"), loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+SQL["op9_chat_formatting"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), e AS (
+  SELECT *, length('<|im_start|>') + length(replace(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g'), chr(10), '<|nl|>')) + 1
+            + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + length('<|im_end|>') + 1 AS chars
+  FROM c
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
