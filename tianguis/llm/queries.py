@@ -13,6 +13,7 @@ from tianguis.llm.bpe import bpe_digests
 from tianguis.llm.chat import fold_events, loss_text, read_turns, render
 from tianguis.llm.exact_dedup import exact_duplicates
 from tianguis.llm.packing import pack_documents
+from tianguis.llm.quality_classifier import quality_scores
 from tianguis.llm.quality_rules import quality_rules
 from tianguis.llm.secrets import KINDS, base_spans, secret_spans, span_list
 from tianguis.llm.staging import new_path
@@ -133,3 +134,8 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        sum(chars)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
