@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from tianguis.llm.bpe import bpe_digests
 from tianguis.llm.chat import fold_events, loss_text, read_turns, render
 from tianguis.llm.exact_dedup import exact_duplicates
+from tianguis.llm.near_dedup import near_duplicates
 from tianguis.llm.packing import pack_documents
 from tianguis.llm.quality_classifier import quality_scores
 from tianguis.llm.quality_rules import quality_rules
@@ -139,3 +140,8 @@ FROM e GROUP BY conv_id
 @query
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
