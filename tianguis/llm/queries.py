@@ -18,6 +18,7 @@ from tianguis.llm.quality_classifier import quality_scores
 from tianguis.llm.quality_rules import quality_rules
 from tianguis.llm.secrets import KINDS, base_spans, secret_spans, span_list
 from tianguis.llm.staging import new_path
+from tianguis.llm.suffix_dedup import repeated_spans, span_digests
 from tianguis.llm.warc import read_warc, write_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +146,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digests(repeated_spans(table(spark, sf_dir, "documents")))
