@@ -9,18 +9,10 @@ from functools import lru_cache
 from typing import NamedTuple
 
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tianguis.llm.tokens import Chunks, TextEncoder, load
-
-
-def byte_characters() -> list[str]:
-    """The printable character that stands for each byte in byte-level vocabularies."""
-    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    spare = iter(range(0x100, 0x200))
-    return [chr(b if b in printable else next(spare)) for b in range(256)]
+from tianguis.llm.tokens import Chunks, TextEncoder, byte_characters, load, word_pattern
 
 
 class Piece(NamedTuple):
@@ -54,8 +46,7 @@ class WordBpe:
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.merges = {(self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
         self.none = len(pairs)
-        split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.words = regex.compile(split["pattern"]["Regex"])
+        self.words = word_pattern(path)
         self.bytes = byte_characters()
         self.known = Chunks(self.of_word)
         self.encoder = TextEncoder(self.tokenizer, self.of_chunk, self.of_text, lambda i: self.piece([i]))

@@ -170,15 +170,14 @@ def near_duplicates(
         return pd.DataFrame(rows, columns=["digest", "prefixes"])
 
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    carried = [F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")] if carry else []
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]) if carry else F.struct(text.alias(text_col))
     rows = df.select(
         F.col(f"`{id_col}`").alias("doc_id"),
         F.monotonically_increasing_id().alias("place"),
-        text.alias("text"),
         F.pandas_udf(sketched, "digest binary, prefixes array<long>")(text).alias("s"),
-        *carried,
+        whole.alias("row"),
     )
-    rows = staged(rows.select("doc_id", "place", "text", "s.*", *(["row"] if carry else [])), "shingles")
+    rows = staged(rows.select("doc_id", "place", "s.*", "row"), "shingles")
     members = rows.groupBy("digest").agg(F.min("place").alias("member"), F.min_by("prefixes", "place").alias("prefixes"))
     member_of = members.select("digest", "member")
 
@@ -191,7 +190,7 @@ def near_duplicates(
         return pd.Series([shingle_set(t, words).tobytes() for t in texts], dtype=object)
 
     sets = (
-        rows.select(F.col("place").alias("node"), "text")
+        rows.select(F.col("place").alias("node"), F.coalesce(F.col("row")[text_col], F.lit("")).alias("text"))
         .join(components, "node")
         .select("component", "node", F.pandas_udf(shingles_of, "binary")("text").alias("shingles"))
     )
@@ -236,7 +235,7 @@ def near_duplicates(
     known = degrees.join(linked, "node", "full").select(F.col("node").alias("member"), "n_links", "component")
 
     per_row = staged(
-        rows.drop("text", "prefixes", *(["row"] if carry else []))
+        rows.drop("prefixes", "row")
         .join(member_of, "digest")
         .drop("digest")
         .join(known, "member", "left")

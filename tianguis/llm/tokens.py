@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 from typing import Generic, TypeVar
 
+import regex
 from tokenizers import Tokenizer
 
 Encoded = TypeVar("Encoded")
@@ -26,16 +28,31 @@ def load(path: str) -> Tokenizer:
     return tokenizer
 
 
+def byte_characters() -> list[str]:
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    spare = iter(range(0x100, 0x200))
+    return [chr(b if b in printable else next(spare)) for b in range(256)]
+
+
+def word_pattern(path: str) -> regex.Pattern:
+    """The pattern by which a tokenizer file splits words off a text."""
+    with open(path, encoding="utf-8") as file:
+        steps = json.load(file)["pre_tokenizer"]["pretokenizers"]
+    return regex.compile(next(s for s in steps if s["type"] == "Split")["pattern"]["Regex"])
+
+
 class Chunks(dict, Generic[Encoded]):
     """Encodings of chunks without white space, computed on demand.
 
-    When there are `CACHED_CHUNKS` of them they become the old generation, out of which those asked for again return;
+    When there are `most` of them they become the old generation, out of which those asked for again return;
     the old generation before is dropped.
     """
 
-    def __init__(self, encode: Callable[[str], Encoded]):
+    def __init__(self, encode: Callable[[str], Encoded], most: int = CACHED_CHUNKS):
         super().__init__()
         self.encode = encode
+        self.most = most
         self.old: dict[str, Encoded] = {}
 
     def __missing__(self, chunk: str) -> Encoded:
@@ -43,7 +60,7 @@ class Chunks(dict, Generic[Encoded]):
         if encoded is None:
             encoded = self.encode(chunk)
         if len(chunk) <= CACHED_LENGTH:
-            if len(self) >= CACHED_CHUNKS:
+            if len(self) >= self.most:
                 self.old = dict(self)
                 self.clear()
             self[chunk] = encoded
@@ -63,19 +80,22 @@ class TextEncoder(Generic[Encoded]):
         of_chunk: Callable[[str], Encoded],
         of_text: Callable[[str], Iterable[Encoded]],
         of_special: Callable[[int], Encoded],
+        most: int = CACHED_CHUNKS,
     ):
-        self.chunks = Chunks(of_chunk)
+        self.chunks = Chunks(of_chunk, most)
         self.of_text = of_text
         special = {t.content: of_special(i) for i, t in tokenizer.get_added_tokens_decoder().items()}
         self.special = special
         self.splits = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
 
-    def parts(self, text: str) -> Iterator[Encoded]:
+    def parts(self, text: str) -> list[Encoded]:
         sections = self.splits.split(text) if self.splits else [text]
+        out: list[Encoded] = []
         for i, section in enumerate(sections):
             if i % 2:
-                yield self.special[section]
+                out.append(self.special[section])
             elif PLAIN.fullmatch(section):
-                yield from map(self.chunks.__getitem__, section.split())
+                out += map(self.chunks.__getitem__, section.split())
             else:
-                yield from self.of_text(section)
+                out += self.of_text(section)
+        return out
