@@ -16,9 +16,10 @@ from tianguis.llm.staging import staged
 LENGTH = 200
 #: Length of the anchors by which strings are dealt to blocks.
 ANCHOR = 64
-#: A block holds whole anchors of about so many bytes; an anchor of more than the second is settled string by string.
-BLOCK_BYTES = 2 << 20
-MAX_ANCHOR_BYTES = 8 << 20
+#: A block holds whole anchors of at most so many bytes, or one anchor; one of more than the second is settled string by
+#: string.
+BLOCK_BYTES = 1 << 20
+MAX_ANCHOR_BYTES = 2 << 20
 
 _SEED = 2
 _RNG = np.random.default_rng(_SEED)
@@ -309,13 +310,14 @@ def repeated_spans(
 
         held: list[tuple] = []
         size = 0
-        for _, rows in groupby(lines(), key=lambda r: r[0]):
-            for row in rows:
-                held.append(row)
-                size += len(row[3])
-            if size > block_bytes:
+        for _, group in groupby(lines(), key=lambda r: r[0]):
+            rows = list(group)
+            more = sum(len(r[3]) for r in rows)
+            if held and size + more > block_bytes:
                 yield settled(held)
                 held, size = [], 0
+            held += rows
+            size += more
         if held:
             yield settled(held)
 
