@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tianguis.llm.tokens import Chunks, TextEncoder, byte_characters, load, word_pattern
+from tianguis.llm.tokens import TextEncoder, byte_characters, load
 
 
 class Piece(NamedTuple):
@@ -46,10 +46,8 @@ class WordBpe:
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.merges = {(self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
         self.none = len(pairs)
-        self.words = word_pattern(path)
         self.bytes = byte_characters()
-        self.known = Chunks(self.of_word)
-        self.encoder = TextEncoder(self.tokenizer, self.of_chunk, self.of_text, lambda i: self.piece([i]))
+        self.encoder = TextEncoder(path, self.tokenizer, self.of_word, self.of_text, lambda i: self.piece([i]))
 
     def piece(self, ids: list[int]) -> Piece:
         return Piece(len(ids), " ".join(map(str, ids)), " ".join([self.names[i] for i in ids]))
@@ -57,9 +55,6 @@ class WordBpe:
     def of_word(self, word: str) -> Piece:
         return self.piece(self.merged("".join([self.bytes[b] for b in word.encode()])))
 
-    def of_chunk(self, chunk: str) -> Piece:
-        return joined([self.known[word] for word in self.words.findall(chunk.lower())])
-
     def of_text(self, text: str) -> Iterator[Piece]:
         """Text in which normalisation needs the tokenizer's own; the words are merged here all the same."""
         normalised = self.tokenizer.normalizer.normalize_str(text)

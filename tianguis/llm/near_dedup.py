@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tianguis.llm.components import connected_components
 from tianguis.llm.staging import staged
-from tianguis.llm.tokens import Chunks
+from tianguis.llm.tokens import Words
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -50,8 +50,8 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=1)
-def _word_hashes() -> Chunks[int]:
-    return Chunks(lambda word: xxhash.xxh64_intdigest(word.encode()))
+def _word_hashes() -> Words[int]:
+    return Words(lambda word: xxhash.xxh64_intdigest(word.encode()))
 
 
 def shingle_set(text: str, words: int = WORDS) -> np.ndarray:

@@ -15,12 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tianguis.llm.staging import staged
-from tianguis.llm.tokens import Chunks, TextEncoder, byte_characters, load, word_pattern
+from tianguis.llm.tokens import TextEncoder, byte_characters, load
 
 CAPACITY = 2048
 SEPARATOR = 0
-#: Words, and as many chunks, of which a worker keeps the ids (twice, for two generations).
-KEPT_WORDS = 250_000
 PIECE = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -32,12 +30,11 @@ def _packed(ids: list[int]) -> bytes:
 def _encoder(path: str) -> TextEncoder[bytes]:
     """Ids by the tokenizers library: its model for words of plain text, all of it for any other text."""
     tokenizer = load(path)
-    merge, split = tokenizer.model.tokenize, word_pattern(path)
+    merge = tokenizer.model.tokenize
     characters = str.maketrans(dict(zip(map(chr, range(256)), byte_characters())))
-    word = Chunks(lambda w: _packed([t.id for t in merge(w.encode().decode("latin-1").translate(characters))]), KEPT_WORDS)
-    chunk = lambda c: b"".join(map(word.__getitem__, split.findall(c.lower())))
+    word = lambda w: _packed([t.id for t in merge(w.encode().decode("latin-1").translate(characters))])
     text = lambda t: [_packed(tokenizer.encode(t, add_special_tokens=False).ids)]
-    return TextEncoder(tokenizer, chunk, text, lambda i: _packed([i]), KEPT_WORDS)
+    return TextEncoder(path, tokenizer, word, text, lambda i: _packed([i]))
 
 
 def token_pieces(

@@ -1,13 +1,13 @@
-"""Encoding of whole texts chunk by chunk, for tokenizers whose words never span white space."""
+"""Encoding of whole texts word by word."""
 
 from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from collections.abc import Callable, Iterable
 from typing import Generic, TypeVar
 
-import regex
 from tokenizers import Tokenizer
 
 Encoded = TypeVar("Encoded")
@@ -15,9 +15,9 @@ Encoded = TypeVar("Encoded")
 #: Characters for which NFC is the identity, lower-casing needs no context, and white space is the same everywhere.
 PLAIN = re.compile("[\\t\\n\\r\\x20-\\x7e\\xa1-\\xac\\xae-\\u012f\\u0131-\\u0148\\u014a-\\u017f–—‘’“”…€]*")
 
-#: Chunks kept by a worker; longer ones are not worth keeping.
-CACHED_CHUNKS = 150_000
-CACHED_LENGTH = 64
+#: Words whose encoding a worker keeps (twice, for two generations); longer ones are not worth keeping.
+KEPT_WORDS = 250_000
+KEPT_LENGTH = 64
 
 
 def load(path: str) -> Tokenizer:
@@ -35,54 +35,59 @@ def byte_characters() -> list[str]:
     return [chr(b if b in printable else next(spare)) for b in range(256)]
 
 
-def word_pattern(path: str) -> regex.Pattern:
-    """The pattern by which a tokenizer file splits words off a text."""
+def word_pattern(path: str) -> re.Pattern:
+    """The pattern by which a tokenizer file splits words off a text, for PLAIN text; letters and digits by name."""
     with open(path, encoding="utf-8") as file:
         steps = json.load(file)["pre_tokenizer"]["pretokenizers"]
-    return regex.compile(next(s for s in steps if s["type"] == "Split")["pattern"]["Regex"])
+    pattern = next(s for s in steps if s["type"] == "Split")["pattern"]["Regex"]
+    plain = [c for c in map(chr, range(0x2200)) if PLAIN.fullmatch(c)]
+    for kind in "LN":
+        members = "".join(re.escape(c) for c in plain if unicodedata.category(c)[0] == kind)
+        pattern = pattern.replace(rf"[\p{{{kind}}}]", f"[{members}]").replace(rf"\p{{{kind}}}", members)
+    return re.compile(pattern)
 
 
-class Chunks(dict, Generic[Encoded]):
-    """Encodings of chunks without white space, computed on demand.
+class Words(dict, Generic[Encoded]):
+    """Encodings of words, computed on demand.
 
-    When there are `most` of them they become the old generation, out of which those asked for again return;
+    When there are `KEPT_WORDS` of them they become the old generation, out of which those asked for again return;
     the old generation before is dropped.
     """
 
-    def __init__(self, encode: Callable[[str], Encoded], most: int = CACHED_CHUNKS):
+    def __init__(self, encode: Callable[[str], Encoded]):
         super().__init__()
         self.encode = encode
-        self.most = most
         self.old: dict[str, Encoded] = {}
 
-    def __missing__(self, chunk: str) -> Encoded:
-        encoded = self.old.get(chunk)
+    def __missing__(self, word: str) -> Encoded:
+        encoded = self.old.get(word)
         if encoded is None:
-            encoded = self.encode(chunk)
-        if len(chunk) <= CACHED_LENGTH:
-            if len(self) >= self.most:
+            encoded = self.encode(word)
+        if len(word) <= KEPT_LENGTH:
+            if len(self) >= KEPT_WORDS:
                 self.old = dict(self)
                 self.clear()
-            self[chunk] = encoded
+            self[word] = encoded
         return encoded
 
 
 class TextEncoder(Generic[Encoded]):
     """Texts to the encodings of their parts, in order; equal to encoding them whole.
 
-    `of_chunk` encodes plain text without white space, `of_text` any other text without special tokens (as several
+    `of_word` encodes a word of plain text in lower case, `of_text` any other text without special tokens (as several
     parts), `of_special` the id of a special token.
     """
 
     def __init__(
         self,
+        path: str,
         tokenizer: Tokenizer,
-        of_chunk: Callable[[str], Encoded],
+        of_word: Callable[[str], Encoded],
         of_text: Callable[[str], Iterable[Encoded]],
         of_special: Callable[[int], Encoded],
-        most: int = CACHED_CHUNKS,
     ):
-        self.chunks = Chunks(of_chunk, most)
+        self.find = word_pattern(path).findall
+        self.words = Words(of_word)
         self.of_text = of_text
         special = {t.content: of_special(i) for i, t in tokenizer.get_added_tokens_decoder().items()}
         self.special = special
@@ -95,7 +100,7 @@ class TextEncoder(Generic[Encoded]):
             if i % 2:
                 out.append(self.special[section])
             elif PLAIN.fullmatch(section):
-                out += map(self.chunks.__getitem__, section.split())
+                out += map(self.words.__getitem__, self.find(section.lower()))
             else:
                 out += self.of_text(section)
         return out
