@@ -13,12 +13,13 @@ from tianguis.model import SALES, SYNC_LOG, Tables, columns
 from tianguis.operators import loads
 from tianguis.plans.monitoring import last_good_date, last_good_dates
 from tianguis.sources.feeds import month_delta, opening_balance, snapshot_of, tagged_union, union_all
-from tianguis.sources.pages import inferred_columns, page_rows, page_schema, text_schema
+from tianguis.sources.pages import read_inferred_pages, read_pages, read_pages_with_defaults
 from tianguis.sources.rules import check_rules, good_rules
 from tianguis.sources.typing import finalise, require, type_rows
 
 from .oracles import MES, SQL, dbl
 from .queries import register
+from .scratch import fresh_folder
 from .tables import AS_OF, COMPANY, ctes
 
 DOCS = "ventas_documentos"
@@ -41,21 +42,24 @@ TYPED_DOCS = """SELECT o_orderkey AS DOCTO_VE_ID, CASE WHEN o_orderkey % 7 <> 0
   CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + INTERVAL '10 hours 20 minutes 30 seconds' AS FECHA_HORA_CREACION, CAST(NULL AS BIGINT) AS CLIENTE_ID"""
 
 
-def landed_pages(t: Tables) -> DataFrame:
-    """The text rows as pages of JSON, 500 ids each, read back the way landed files are."""
-    rows = t["textos_documentos"]
-    page = F.floor(F.trim("docto_ve_id").cast("bigint") / 500)
+def land(rows: DataFrame, key: str, per_page: int = 500) -> str:
+    """Rows as landed pages of JSON, whole answers of ``per_page`` keys each; returns their folder."""
+    page = F.floor(F.trim(F.col(key).cast("string")).cast("bigint") / per_page)
     pages = rows.groupBy(page.alias("page")).agg(F.collect_list(F.struct(*rows.columns)).alias("data"))
-    text = pages.select(F.to_json(F.struct("data", F.lit(False).alias("has_more"), F.col("page").alias("next_cursor"))).alias("json"))
-    landed = page_schema(text_schema(DOC_SCHEMA))
-    return text.select(F.from_json("json", landed, {"mode": "FAILFAST"}).alias("p")).select("p.*")
+    answer = F.to_json(F.struct("data", F.lit(False).alias("has_more"), F.col("page").alias("next_cursor")))
+    path = fresh_folder(rows.sparkSession)
+    pages.select(answer.alias("value")).write.text(path)
+    return path
+
+
+def read_back(t: Tables) -> DataFrame:
+    rows = t["textos_documentos"].withColumnRenamed("docto_ve_id", "DOCTO_VE_ID")
+    return read_pages(rows.sparkSession, land(rows, "DOCTO_VE_ID"), DOC_SCHEMA, True, "textos_documentos")
 
 
-# JSON keys are matched by name; the text rows spell one of them in lower case.
 both(
     "S1_paginas",
-    lambda t: page_rows(landed_pages(t.replacing(textos_documentos=t["textos_documentos"].withColumnRenamed("docto_ve_id", "DOCTO_VE_ID"))), True)
-    .drop("CLIENTE_ID"),
+    lambda t: read_back(t).drop("CLIENTE_ID"),
     f"{ctes('textos_documentos')} SELECT docto_ve_id AS DOCTO_VE_ID, FOLIO, IMPORTE_NETO, FECHA, FECHA_HORA_CREACION FROM textos_documentos",
 )
 both("S2_tipos", lambda t: type_rows(t["textos_documentos"], DOC_SCHEMA), f"{TYPED_DOCS} FROM orders")
@@ -83,24 +87,33 @@ both(
 )
 
 
-def _feeds(t: Tables) -> dict[str, DataFrame]:
-    docs = t[DOCS]
-    feeds = {tipo: docs.filter(F.col("TIPO_DOCTO") == tipo).drop("TIPO_DOCTO") for tipo in ("F", "R", "P", "C")}
-    # The last feed brings its own type, sometimes as an explicit null.
-    kept = F.when(F.col("DOCTO_VE_ID") % 3 != 0, F.col("TIPO_DOCTO"))
-    feeds["X"] = docs.filter("TIPO_DOCTO = 'D'").withColumn("TIPO_DOCTO", kept)
-    return feeds
+FEED_SCHEMA = columns("EMPRESA S!, DOCTO_VE_ID L!, TIPO_DOCTO S, FECHA D!, CLIENTE_ID L, IMPORTE_NETO N")
+
+
+def _landed_feeds(t: Tables) -> DataFrame:
+    """Each type's documents landed without the type, which the feed says; the last feed brings its own, or none."""
+    docs, feeds = t[DOCS], {}
+    for tipo in ("F", "R", "P", "C", "D"):
+        rows = docs.filter(F.col("TIPO_DOCTO") == tipo)
+        if tipo != "D":
+            rows = rows.drop("TIPO_DOCTO")
+        path = land(rows.filter(F.lit(tipo != "D") | (F.col("DOCTO_VE_ID") % 3 != 0)), "DOCTO_VE_ID")
+        feeds[tipo] = read_pages_with_defaults(docs.sparkSession, path, FEED_SCHEMA, {"TIPO_DOCTO": tipo}, DOCS)
+    return type_rows(tagged_union(feeds), FEED_SCHEMA)
 
 
 both(
     "S5_union_etiquetada",
-    lambda t: tagged_union(_feeds(t)),
-    f"""{ctes(DOCS)} SELECT EMPRESA, DOCTO_VE_ID, CASE WHEN TIPO_DOCTO = 'D' AND DOCTO_VE_ID % 3 = 0 THEN NULL ELSE TIPO_DOCTO END AS TIPO_DOCTO,
-  FECHA, CLIENTE_ID, {dbl('IMPORTE_NETO')} FROM {DOCS}""",
+    _landed_feeds,
+    f"SELECT * FROM ({ctes(DOCS)} SELECT {DOC_COLS}, {dbl('IMPORTE_NETO')} FROM {DOCS} WHERE NOT (TIPO_DOCTO = 'D' AND DOCTO_VE_ID % 3 = 0)) x",
 )
 _DELTA = f"ARTICULO_ID, ALMACEN_ID, {dbl(BALANCE_AMOUNTS)}"
 
 
+#: The months that hold balances.
+_BALANCE_MONTHS = (date(1992, 1, 1), date(2001, 12, 1))
+
+
 def _month_rows(t: Tables, first: date) -> DataFrame:
     rows = t["fact_saldos_mensuales"].filter((F.col("PERIODO") == F.lit(first)) & ~F.col("ES_SALDO_INICIAL"))
     return rows.drop("PERIODO", "ES_SALDO_INICIAL", "EMPRESA")
@@ -108,9 +121,9 @@ def _month_rows(t: Tables, first: date) -> DataFrame:
 
 both(
     "S6_deltas_mensuales",
-    lambda t: union_all([month_delta(_month_rows(t, m), m) for m in jobs.months(date(2000, 1, 15), date(2000, 3, 1))]),
+    lambda t: union_all([month_delta(_month_rows(t, m), m) for m in jobs.months(*_BALANCE_MONTHS)]),
     f"""{ctes('fact_saldos_mensuales')} SELECT {_DELTA}, PERIODO, FALSE AS ES_SALDO_INICIAL FROM fact_saldos_mensuales
-WHERE NOT ES_SALDO_INICIAL AND PERIODO BETWEEN DATE '2000-01-01' AND DATE '2000-03-31'""",
+WHERE NOT ES_SALDO_INICIAL""",
 )
 both(
     "S7_saldo_inicial",
@@ -125,7 +138,17 @@ both(
     f"""{ctes('inventario_existencias')} SELECT EMPRESA, ARTICULO_ID, ALMACEN_ID, {dbl('EXISTENCIA COSTO')}, DATE '2026-09-10' AS _snapshot_date
 FROM inventario_existencias WHERE _snapshot_date = DATE '2001-08-01'""",
 )
-both("S9_columnas_inferidas", lambda t: inferred_columns(t["events"], "props"), "SELECT CAST(props->>'$.k' AS BIGINT) AS k FROM events")
+
+
+def _inferred(t: Tables) -> DataFrame:
+    """The events' properties landed as a catalog whose columns nobody declared."""
+    rows = t["events"]
+    path = fresh_folder(rows.sparkSession)
+    rows.select(F.concat(F.lit('{"data": ['), F.coalesce("props", F.lit("{}")), F.lit("]}")).alias("value")).write.text(path)
+    return read_inferred_pages(rows.sparkSession, path)
+
+
+both("S9_columnas_inferidas", _inferred, "SELECT CAST(props->>'$.k' AS BIGINT) AS k FROM events")
 both(
     "S10_ultima_fecha_buena",
     lambda t: last_good_date(t["_etl_sync_state"], "click"),

@@ -13,9 +13,10 @@ from tianguis.model import Tables
 from tianguis.operators.aggregates import Distinct, pick_first, pick_last, summarise
 from tianguis.plans import catalog, dims, inventory, report
 from tianguis.sources.feeds import union_all
+from tianguis.sources.rules import good_rules
 
 from .ingest import SALE_AMOUNTS, SALE_COLS, both
-from .oracles import CODES, DAY0, MES, SERIES, SERIES_TABLES, dbl, div9
+from .oracles import CODES, DAY0, MES, SERIES, SERIES_TABLES, SQL, dbl, div9
 from .tables import AS_OF, ctes
 
 V, C = "fact_ventas_articulo", "fact_compras_partidas"
@@ -323,13 +324,13 @@ both(
 )
 both(
     "O3_reglas_en_orden",
-    lambda t: t["dim_tipos_clientes"].select(F.col("TIPO_CLIENTE_ID").alias("ORDEN"), strip(F.col("NOMBRE")).alias("PATRON")).orderBy("ORDEN"),
-    f"{ctes('dim_tipos_clientes')} SELECT TIPO_CLIENTE_ID AS ORDEN, trim(NOMBRE) AS PATRON FROM dim_tipos_clientes ORDER BY 1",
+    lambda t: good_rules(t["textos_reglas"]).select("ORDEN", "PATRON"),
+    f"SELECT ORDEN, PATRON FROM ({SQL['S4_reglas']}) r ORDER BY ORDEN",
 )
 both(
     "U1_union_de_meses",
-    lambda t: union_all([t[V].filter(F.month("FECHA") == m).select(*SALE, "UNIDADES") for m in (1, 6, 12)]),
-    sales_where("month(FECHA) IN (1, 6, 12)"),
+    lambda t: union_all([t[V].filter(F.month("FECHA") == m).select(*SALE, "UNIDADES") for m in range(1, 13)]),
+    sales_where("TRUE"),
 )
 
 # --- scalar functions ---

@@ -57,6 +57,7 @@ register("P2_sellin", lambda t: suppliers.sell_in(t, SUPPLIER))
 register("P2_sellin_todos", suppliers.sell_in)
 register("P3_inventario_actual", lambda t: suppliers.stock_now(t, AS_OF, SUPPLIER))
 register("P3_inventario_actual_todos", lambda t: suppliers.stock_now(t, AS_OF))
+register("P4_inventario_mensual_todos", lambda t: suppliers.stock_by_month(t, AS_OF))
 register("P4_inventario_mensual", lambda t: suppliers.stock_by_month(t, AS_OF, SUPPLIER))
 
 for _cut in report.CUTS:
@@ -68,6 +69,7 @@ register("D1_indicadores", lambda t: dashboards.sales_scorecard(t, date(2000, 1,
 register("D1_ventas_mes", dashboards.monthly_sales)
 register("D2_top_articulos", lambda t: dashboards.top_items(t, 20))
 register("D3_mes_anterior", dashboards.month_over_month)
+register("D3_periodo_anterior", lambda t: dashboards.period_over_period(t, date(2000, 3, 10), date(2000, 5, 9)))
 register("D4_clientes_segmento", lambda t: dashboards.customers_by_segment(t, AS_OF))
 register("D4_vendedor_mes", dashboards.seller_months)
 register("D5_inventario_indicadores", lambda t: dashboards.inventory_scorecard(t, AS_OF))

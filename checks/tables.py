@@ -13,7 +13,6 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 from tianguis.model import Tables
-from tianguis.sources.files import read_spread
 
 AS_OF = date(2001, 8, 1)  # last order date
 AS_OF_TS = datetime(2024, 1, 31)  # events end the day before
@@ -170,7 +169,7 @@ FROM part"""
 @lru_cache(maxsize=64)
 def given_table(spark: SparkSession, path: str) -> DataFrame:
     """The plan of a given table; its files are listed and their footers read once per session."""
-    return read_spread(spark, path)
+    return spark.read.parquet(path)
 
 
 def spark_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:

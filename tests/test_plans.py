@@ -5,13 +5,12 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
+from checks.queries import QUERIES
 from checks.queries import PLANS
 from checks.tables import AS_OF, model_tables
 from tianguis import model
 from tianguis.operators.store import Store
 from tianguis.plans import inventory, market
-from tianguis.sources.files import read_spread
 from tianguis.sources.typing import type_rows
 
 from conftest import SF_DIR, rows
@@ -21,9 +20,9 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_nested_loops_and_no_python_rows(spark, name):
-    text = plan(contract.queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     python = ("BatchEvalPython", "FlatMapGroups", "MapInPandas", "ArrowEvalPython")
     if not name.startswith("S4"):  # rule patterns are compiled in Arrow batches
@@ -100,8 +99,3 @@ def test_clustered_files(stored):
         files_of_day.setdefault(r.FECHA, set()).add(r.f)
     assert all(items == sorted(items) for items in by_file.values())
     assert {len(f) for f in files_of_day.values()} == {1}
-
-
-def test_small_files_are_not_spread(spark):
-    assert "Exchange" not in plan(read_spread(spark, f"{SF_DIR}/region.parquet"))
-    assert "Exchange" in plan(read_spread(spark, "/root/testdata/sf0.1/lineitem.parquet"))

@@ -210,10 +210,11 @@ CHANNEL_RULES = [("E1", 10, r"^Z-1\s*MOSTRADOR", "Tienda", True), ("E1", 40, r"^
 CHANNEL_TYPES = [("E1", 1, "Z-1  Mostrador centro "), ("E1", 2, "z-7 norte"), ("E1", 3, "z-9 cobranza"), ("E1", 4, None), ("E1", 5, "Pacífico")]
 
 
-@pytest.mark.parametrize("literal_rules", [200, 2, 1])
-def test_first_rule_wins_whatever_the_number_of_rules(spark, tables, literal_rules):
-    t = tables(dim_tipos_clientes=CHANNEL_TYPES, dim_formato_venta=CHANNEL_RULES)
-    out = catalog.match_channel(t["dim_tipos_clientes"], t["dim_formato_venta"], literal_rules)
+@pytest.mark.parametrize("others", [0, 300])
+def test_first_rule_wins_whatever_the_number_of_rules(spark, tables, others):
+    more = [("E1", 100 + i, f"^NADIE {i}$", "Nunca", True) for i in range(others)]
+    t = tables(dim_tipos_clientes=CHANNEL_TYPES, dim_formato_venta=CHANNEL_RULES + more)
+    out = catalog.match_channel(t["dim_tipos_clientes"], t["dim_formato_venta"])
     got = {r.TIPO_CLIENTE_ID: r._regla for r in out.collect()}
     assert {k: v and v.FORMATO for k, v in got.items()} == {1: "Tienda", 2: "Mayoreo", 3: "Excluir", 4: None, 5: None}
 

@@ -5,6 +5,7 @@ from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 from conftest import rows
@@ -38,6 +39,32 @@ def test_truncated_chunk_fails_even_when_only_one_column_is_used(spark, tmp_path
         read_pages(spark, path, SCHEMA, whole_chunk=True).select("ID").collect()
 
 
+@pytest.mark.parametrize("read", [
+    lambda spark, path: read_pages(spark, path, SCHEMA),
+    lambda spark, path: read_pages_with_defaults(spark, path, SCHEMA, {"NOMBRE": "x"}),
+    lambda spark, path: read_inferred_pages(spark, path),
+])
+def test_a_broken_page_is_never_read_as_no_rows(spark, tmp_path, read):
+    good, broken = json.dumps(page([{"ID": 1}])), json.dumps(page([{"ID": 2}, {"ID": 3}]))[:-20]
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "pages.json").write_text(good + "\n" + broken)
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read(spark, str(tmp_path / "t")).collect()
+
+
+def test_a_missing_last_page_fails(spark, tmp_path):
+    path = land(tmp_path / "t", page([{"ID": 1}], True, 1), page([{"ID": 2}], True, 2))
+    for read in (read_pages(spark, path, SCHEMA), read_pages_with_defaults(spark, path, SCHEMA, {})):
+        with pytest.raises(PySparkException, match="last page"):
+            read.select("ID").collect()
+
+
+def test_keys_in_another_case_are_found(spark, tmp_path):
+    path = land(tmp_path / "t", page([{"id": 1, "Nombre": None}, {"id": 2}]))
+    out = read_pages_with_defaults(spark, path, SCHEMA, {"NOMBRE": "x"})
+    assert rows(out, "ID", "NOMBRE") == [("1", None), ("2", "x")]
+
+
 def test_numbers_keep_every_digit(spark, tmp_path):
     path = tmp_path / "t"
     path.mkdir()

@@ -98,7 +98,10 @@ class Store:
         try:
             return seen.get["rows"]
         except Py4JJavaError:
-            return 0  # the optimizer saw that there is nothing to write and dropped the count with it
+            # The optimizer drops the count of rows that it knows to be none; of others the count is an error.
+            if df.isEmpty():
+                return 0
+            raise
 
     def create(self, spec: TableSpec) -> None:
         """The folder of a table with a fixed schema; columns and layout come from its spec."""

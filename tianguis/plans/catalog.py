@@ -14,9 +14,6 @@ ALTERNATE_ROLE = "CLAVE ALTERNA"
 BARCODE = r"^[0-9]{12,14}\z"
 DEFAULT_CHANNEL = "Otros"
 
-# Above this many rules they no longer become constants of the plan but a joined table.
-LITERAL_RULES = 200
-
 
 def item_codes(t: Tables) -> DataFrame:
     """Main code, barcode and first alternate of every item that has a non-blank code."""
@@ -42,55 +39,19 @@ def item_codes(t: Tables) -> DataFrame:
     )
 
 
-def _rule_struct(rule) -> Column:
-    return F.struct(
-        F.lit(rule.ORDEN).cast("bigint").alias("ORDEN"),
-        F.lit(rule.PATRON).alias("PATRON"),
-        F.lit(rule.FORMATO).alias("FORMATO"),
-        F.lit(rule.INCLUIR).alias("INCLUIR"),
-    )
-
-
-def match_channel(types: DataFrame, rules: DataFrame, literal_rules: int = LITERAL_RULES) -> DataFrame:
+def match_channel(types: DataFrame, rules: DataFrame) -> DataFrame:
     """Add ``_regla``: the matching rule of lowest ORDEN, or NULL.
 
-    A handful of rules (the usual case, counted first) becomes one constant expression:
-    no join, each pattern compiled once. A larger set is hashed into fragments that meet
-    the types by an equality join on the fragment number, each fragment keeping its best
-    match; the best over all fragments is the same rule.
+    The rules, a small file by definition, are a scalar of the plan: an array by company, in
+    order. Each type takes the first that matches, so types that repeat or have no id are
+    judged like any other, and nothing is joined.
     """
-    rules = rules.select("EMPRESA", "ORDEN", "PATRON", "FORMATO", "INCLUIR")
-    head = rules.limit(literal_rules + 1).collect()
-    name = strip(F.col("NOMBRE"))
-    if not head:
-        return types.withColumn("_regla", F.lit(None).cast(
-            "struct<ORDEN:bigint,PATRON:string,FORMATO:string,INCLUIR:boolean>"))
-    if len(head) <= literal_rules:
-        ordered = sorted(head, key=lambda r: (r.ORDEN, r.PATRON, r.FORMATO, r.INCLUIR))
-        tests = [
-            F.when((F.col("EMPRESA") == r.EMPRESA) & name.rlike("(?iu)" + r.PATRON), _rule_struct(r)) for r in ordered
-        ]
-        return types.withColumn("_regla", F.coalesce(*tests))
-
-    rules = rules.distinct()
-    fragments = -(-rules.count() // literal_rules)
-    fragment = F.pmod(F.xxhash64(*rules.columns), F.lit(fragments)).cast("int")
-    grouped = rules.groupBy(fragment.alias("_f")).agg(
-        F.sort_array(F.collect_list(F.struct("ORDEN", "PATRON", "FORMATO", "INCLUIR", "EMPRESA"))).alias("_rules")
-    )
-    keys = types.select("EMPRESA", "TIPO_CLIENTE_ID", name.alias("_name")).distinct()
-    probes = keys.withColumn("_f", F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))))
-    hits = F.filter(
-        F.col("_rules"),
-        lambda r: (r["EMPRESA"] == F.col("EMPRESA")) & F.rlike(F.col("_name"), F.concat(F.lit("(?iu)"), r["PATRON"])),
-    )
-    best = (
-        probes.join(grouped, "_f")
-        .select("EMPRESA", "TIPO_CLIENTE_ID", F.get(hits, F.lit(0)).dropFields("EMPRESA").alias("_hit"))
-        .groupBy("EMPRESA", "TIPO_CLIENTE_ID")
-        .agg(F.min("_hit").alias("_regla"))
-    )
-    return types.join(best, ["EMPRESA", "TIPO_CLIENTE_ID"], "left")
+    rule = F.struct("ORDEN", "PATRON", "FORMATO", "INCLUIR")
+    listed = rules.filter(F.col("EMPRESA").isNotNull()).groupBy("EMPRESA").agg(F.sort_array(F.collect_set(rule)).alias("_reglas"))
+    by_company = listed.agg(F.map_from_entries(F.collect_list(F.struct("EMPRESA", "_reglas")))).scalar()
+    matching = F.filter("_reglas", lambda r: F.rlike(strip(F.col("NOMBRE")), F.concat(F.lit("(?iu)"), r["PATRON"])))
+    own = F.try_element_at(by_company, F.col("EMPRESA"))
+    return types.withColumn("_reglas", own).withColumn("_regla", F.get(matching, F.lit(0))).drop("_reglas")
 
 
 def customer_type_channels(t: Tables, with_company: bool = False) -> DataFrame:

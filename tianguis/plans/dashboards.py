@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import day, is_invoice, is_receipt, is_return, month, not_cancelled, only, ratio, signed
 from ..model import Tables
 from ..operators.aggregates import Distinct, summarise
-from .dims import CUSTOMER, ITEM, items, sellers
+from .dims import CUSTOMER, ITEM, sellers, with_items
 from .inventory import fill_months, idle, stock_and_movements, stock_changes, until_next
 from .sales import recency_segment
 
@@ -46,19 +46,31 @@ def top_items(t: Tables, k: int) -> DataFrame:
         sums={"IMPORTE_NETO": _net(), "UTILIDAD": _profit(), "UNIDADES_DEVUELTAS": only(is_return(), -F.col("UNIDADES"))},
     )
     best = sold.orderBy(_net().desc(), "EMPRESA", "ARTICULO_ID").limit(k)
-    return best.join(items(t), ITEM, "left").select(
+    return with_items(best, t).select(
         "EMPRESA", "ARTICULO_ID", "ARTICULO", "LINEA", "IMPORTE_NETO", ratio(_profit(), _net()).alias("MARGEN_PCT"),
         "UNIDADES_DEVUELTAS",
     )
 
 
 def month_over_month(t: Tables) -> DataFrame:
-    """D3: each month against the month before it; the window holds one row per month."""
-    before = F.lag("IMPORTE_NETO").over(Window.partitionBy("EMPRESA").orderBy("MES"))
+    """D3: each month against the calendar month before it, NULL if that had no sales; the window holds one row per month."""
+    last = Window.partitionBy("EMPRESA").orderBy("MES")
+    follows = F.lag("MES").over(last) == F.add_months("MES", -1)
+    before = F.when(follows, F.lag("IMPORTE_NETO").over(last))
     rows = monthly_sales(t).select("EMPRESA", "MES", "IMPORTE_NETO", before.alias("IMPORTE_ANTERIOR"))
     return rows.withColumn("CAMBIO_PCT", ratio(_net() - F.col("IMPORTE_ANTERIOR"), F.col("IMPORTE_ANTERIOR")))
 
 
+def period_over_period(t: Tables, start: date, end: date) -> DataFrame:
+    """D3: net sales of [start, end] per company against the range of as many days just before it."""
+    before = start - (end - start) - timedelta(days=1)
+    inside = F.col("FECHA") >= day(start)
+    sold = t["fact_ventas_articulo"].filter(F.col("FECHA").between(day(before), day(end))).groupBy("EMPRESA").agg(
+        F.sum(F.when(inside, _net())).alias("IMPORTE_NETO"), F.sum(F.when(~inside, _net())).alias("IMPORTE_ANTERIOR")
+    )
+    return sold.withColumn("CAMBIO_PCT", ratio(_net() - F.col("IMPORTE_ANTERIOR"), F.col("IMPORTE_ANTERIOR")))
+
+
 def customers_by_segment(t: Tables, as_of: date) -> DataFrame:
     """Number of customers per recency segment, from the last invoice date alone."""
     last = t["fact_ventas_articulo"].filter(is_invoice()).groupBy(*CUSTOMER).agg(F.max("FECHA").alias("ULTIMA_COMPRA"))
@@ -90,9 +102,8 @@ def inventory_by_line(t: Tables, as_of: date) -> DataFrame:
     Closing balances add up, so movements are summed by line first and the running sum and
     the missing months are worked out per line, not per item and warehouse.
     """
-    line = items(t).select(*ITEM, "LINEA_ARTICULO_ID", "LINEA")
     keys = ["EMPRESA", "LINEA_ARTICULO_ID", "LINEA"]
-    moved = stock_changes(t, as_of).join(line, ITEM, "left").groupBy(*keys, "PERIODO").agg(
+    moved = with_items(stock_changes(t, as_of), t).groupBy(*keys, "PERIODO").agg(
         F.sum(F.col("ENTRADAS_UNIDADES") - F.col("SALIDAS_UNIDADES")).alias("NETO"),
         F.sum("UNIDADES_VENDIDAS").alias("UNIDADES_VENDIDAS"),
     )

@@ -1,4 +1,4 @@
-"""Dimension lookups, already joined among themselves so a fact meets each of them once.
+"""Dimension lookups.
 
 Every key carries the company, so two companies may reuse the same ids. Only the needed
 columns are kept; whether a lookup is broadcast is left to the optimizer, which checks
@@ -18,22 +18,28 @@ WAREHOUSE = ["EMPRESA", "ALMACEN_ID"]
 CUSTOMER = ["EMPRESA", "CLIENTE_ID"]
 
 
+def articles(t: Tables) -> DataFrame:
+    return t["dim_articulos"].select(
+        *ITEM,
+        F.col("NOMBRE").alias("ARTICULO"),
+        F.col("ESTATUS").alias("ARTICULO_ESTATUS"),
+        "UNIDAD_VENTA",
+        "LINEA_ARTICULO_ID",
+    )
+
+
+def lines(t: Tables) -> DataFrame:
+    return t["dim_lineas"].select("EMPRESA", "LINEA_ARTICULO_ID", F.col("NOMBRE").alias("LINEA"), "GRUPO_LINEA_ID")
+
+
+def with_items(df: DataFrame, t: Tables) -> DataFrame:
+    """Item and line by name. Each lookup is joined by itself: the size of one is known, that of their join is a guess."""
+    return df.join(articles(t), ITEM, "left").join(lines(t), ["EMPRESA", "LINEA_ARTICULO_ID"], "left")
+
+
 def items(t: Tables) -> DataFrame:
     """EMPRESA, ARTICULO_ID, ARTICULO, ARTICULO_ESTATUS, UNIDAD_VENTA, LINEA_ARTICULO_ID, LINEA, GRUPO_LINEA_ID."""
-    lines = t["dim_lineas"].select(
-        "EMPRESA", "LINEA_ARTICULO_ID", F.col("NOMBRE").alias("LINEA"), "GRUPO_LINEA_ID"
-    )
-    return (
-        t["dim_articulos"]
-        .select(
-            *ITEM,
-            F.col("NOMBRE").alias("ARTICULO"),
-            F.col("ESTATUS").alias("ARTICULO_ESTATUS"),
-            "UNIDAD_VENTA",
-            "LINEA_ARTICULO_ID",
-        )
-        .join(lines, ["EMPRESA", "LINEA_ARTICULO_ID"], "left")
-    )
+    return articles(t).join(lines(t), ["EMPRESA", "LINEA_ARTICULO_ID"], "left")
 
 
 def warehouses(t: Tables) -> DataFrame:
@@ -65,4 +71,4 @@ def default_supplier_name(t: Tables) -> DataFrame:
 
 
 def with_item_and_warehouse(df: DataFrame, t: Tables) -> DataFrame:
-    return df.join(items(t), ITEM, "left").join(warehouses(t), WAREHOUSE, "left")
+    return with_items(df, t).join(warehouses(t), WAREHOUSE, "left")

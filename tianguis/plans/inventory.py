@@ -15,18 +15,23 @@ STOCK_KEY = ["EMPRESA", "ARTICULO_ID", "ALMACEN_ID"]
 
 
 def latest_snapshot(t: Tables, only_items: DataFrame | None = None) -> DataFrame:
-    """Rows of the newest snapshot day of the whole table.
+    """Rows of each company's newest snapshot day.
 
-    The day is a scalar subquery, so it is known before the scan and prunes partitions.
+    The days, one for each company, are scalar subqueries: the oldest of them is known before
+    the scan and prunes partitions.
     """
     stock = t["inventario_existencias"]
-    newest = stock.agg(F.max("_snapshot_date")).scalar()
-    rows = stock.filter(F.col("_snapshot_date") == newest)
+    newest = stock.groupBy("EMPRESA").agg(F.max("_snapshot_date").alias("d"))
+    oldest = newest.agg(F.min("d")).scalar()
+    by_company = newest.agg(F.map_from_entries(F.collect_list(F.struct("EMPRESA", "d")))).scalar()
+    rows = stock.filter((F.col("_snapshot_date") >= oldest) & (F.col("_snapshot_date") == F.try_element_at(by_company, F.col("EMPRESA"))))
     return rows if only_items is None else rows.join(only_items, ITEM, "left_semi")
 
 
 def stock_and_movements(t: Tables, as_of: date, only_items: DataFrame | None = None) -> DataFrame:
     """Newest stock per item and warehouse with recent sales and last movements, ids only."""
+    if only_items is not None:
+        t = t.replacing(**{f: t[f].join(only_items, ITEM, "left_semi") for f in ("fact_ventas_articulo", "fact_compras_partidas")})
     recent = F.col("FECHA") >= F.date_sub(day(as_of), 90)
     # Recent units and last sale come from one pass over sales.
     sold = t["fact_ventas_articulo"].groupBy(*STOCK_KEY).agg(

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import day, month
 from ..model import Tables
-from ..operators.joins import summed_unless_broadcast
 from .catalog import DEFAULT_CHANNEL, customer_type_channels, item_codes
 from .dims import CUSTOMER, ITEM, WAREHOUSE, default_supplier_name, warehouses
 from .inventory import closing_stock, fill_months, stock_changes
@@ -40,11 +39,11 @@ def market_sales(t: Tables, mes: date | None = None) -> DataFrame:
         "EMPRESA", "TIPO_CLIENTE_ID", "FORMATO", "INCLUIR", "ZONA"
     )
     customers = t["dim_clientes"].select(*CUSTOMER, "TIPO_CLIENTE_ID")
-    sold = summed_unless_broadcast(
-        sales.withColumn("MES", month(F.col("FECHA"))),
-        customers,
-        ["EMPRESA", "MES", "CLIENTE_ID", "ALMACEN_ID", "ARTICULO_ID"],
-        {n: F.col(c) for n, c in MEASURES.items()},
+    # Added up before any join: a hot customer arrives as its distinct months, items and warehouses.
+    sold = (
+        sales.withColumn("MES", month(F.col("FECHA")))
+        .groupBy("EMPRESA", "MES", "CLIENTE_ID", "ALMACEN_ID", "ARTICULO_ID")
+        .agg(*[F.sum(c).alias(n) for n, c in MEASURES.items()])
     )
     by_channel = customers.join(channels, ["EMPRESA", "TIPO_CLIENTE_ID"], "left").drop("TIPO_CLIENTE_ID")
     keys = ["EMPRESA", "MES", "FORMATO", "INCLUIR", "ZONA", "ALMACEN_ID", "ARTICULO_ID"]

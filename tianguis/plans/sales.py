@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import day, days_between, is_invoice, is_return, month, months_back, only, ratio
 from ..model import Tables
 from ..operators.aggregates import Distinct, summarise
-from ..operators.joins import summed_unless_broadcast
 from .catalog import DEFAULT_CHANNEL, customer_type_channels
-from .dims import CUSTOMER, items, sellers, with_item_and_warehouse
+from .dims import CUSTOMER, sellers, with_item_and_warehouse, with_items
 
 AMOUNTS = ("IMPORTE_NETO", "COSTO", "UTILIDAD")
 
@@ -122,13 +121,14 @@ def customer_summary(t: Tables, as_of: date) -> DataFrame:
 
 def line_margin(t: Tables) -> DataFrame:
     """Margin per company, month and product line."""
-    lines = items(t).select("EMPRESA", "ARTICULO_ID", "LINEA_ARTICULO_ID", "LINEA", "GRUPO_LINEA_ID")
-    sold = summed_unless_broadcast(
-        t["fact_ventas_articulo"].withColumn("MES", month(F.col("FECHA"))),
-        t["dim_articulos"].select("EMPRESA", "ARTICULO_ID", "LINEA_ARTICULO_ID"),
-        ["EMPRESA", "MES", "ARTICULO_ID", "CLIENTE_ID"],
-        _sums("UNIDADES", *AMOUNTS),
-    ).join(lines, ["EMPRESA", "ARTICULO_ID"], "left")
+    # Added up before any join: a hot item or customer arrives as its distinct pairs and months.
+    sold = with_items(
+        t["fact_ventas_articulo"]
+        .withColumn("MES", month(F.col("FECHA")))
+        .groupBy("EMPRESA", "MES", "ARTICULO_ID", "CLIENTE_ID")
+        .agg(*[F.sum(n).alias(n) for n in ("UNIDADES", *AMOUNTS)]),
+        t,
+    )
     keys = ["EMPRESA", "MES", "LINEA_ARTICULO_ID", "LINEA", "GRUPO_LINEA_ID"]
     return summarise(
         sold,

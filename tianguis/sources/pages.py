@@ -1,4 +1,7 @@
-"""Landed API pages ``{"data": [...], "has_more": .., "next_cursor": ..}``, one per line."""
+"""Landed API pages ``{"data": [...], "has_more": .., "next_cursor": ..}``, one per line.
+
+A page that does not parse fails the load: read as "no rows" it would empty what the load replaces.
+"""
 
 from __future__ import annotations
 
@@ -32,13 +35,30 @@ def page_rows(pages: DataFrame, whole_chunk: bool, table: str = "") -> DataFrame
     """
     if whole_chunk:
         pages = fail_when(pages, F.coalesce("has_more", F.lit(False)), f"{table}: truncated chunk (has_more is true)")
-    partition_columns = [c for c in pages.columns if c not in ("data", "has_more", "next_cursor")]
-    return pages.select(*partition_columns, F.inline("data"))
+    else:
+        pages = fail_when(pages, _unfinished(pages), f"{table}: the last page of a paged answer is missing")
+    return pages.select(*_folder_columns(pages), F.inline("data"))
+
+
+def _folder_columns(pages: DataFrame) -> list[str]:
+    return [c for c in pages.columns if c not in ("data", "has_more", "next_cursor")]
+
+
+def _unfinished(pages: DataFrame):
+    """Whether some folder announces more pages and holds none that is the last."""
+    more = F.coalesce("has_more", F.lit(False))
+    folders = pages.groupBy(*_folder_columns(pages)).agg(F.bool_or(more).alias("paged"), F.count_if(~more).alias("last"))
+    return folders.agg(F.coalesce(F.bool_or(F.col("paged") & (F.col("last") == 0)), F.lit(False))).scalar()
+
+
+def strict(spark: SparkSession):
+    """A JSON reader to which a line that is not whole JSON is an error."""
+    return spark.read.option("mode", "FAILFAST")
 
 
 def read_pages(spark: SparkSession, path: str, schema: T.StructType, whole_chunk: bool = False, table: str = "") -> DataFrame:
     """Typed tables: every column as text, to be cast by ``type_rows``."""
-    pages = spark.read.schema(page_schema(text_schema(schema))).json(path)
+    pages = strict(spark).schema(page_schema(text_schema(schema))).json(path)
     return page_rows(pages, whole_chunk, table)
 
 
@@ -50,31 +70,28 @@ def read_pages_with_defaults(
     Rows are read as maps here, because an absent key and an explicit null differ.
     """
     row_map = T.MapType(T.StringType(), T.StringType())
-    pages = spark.read.schema(page_schema(row_map)).json(path)
-    extra = [c for c in pages.columns if c not in ("data", "has_more", "next_cursor")]
-    rows = pages.select(*extra, F.explode("data").alias("_row"))
+    pages = strict(spark).schema(page_schema(row_map)).json(path)
+    pages = fail_when(pages, _unfinished(pages), f"{table}: the last page of a paged answer is missing")
+    extra = _folder_columns(pages)
+    # Names in upper case, as typed rows find their columns whatever the case.
+    rows = pages.select(*extra, F.explode("data").alias("_row")).withColumn(
+        "_row", F.transform_keys("_row", lambda name, value: F.upper(name))
+    )
 
     def value(name: str):
-        found = F.col("_row")[name]
+        found = F.col("_row")[name.upper()]
         if name not in defaults:
             return found
-        return F.when(F.map_contains_key("_row", name), found).otherwise(F.lit(defaults[name]))
+        return F.when(F.map_contains_key("_row", name.upper()), found).otherwise(F.lit(defaults[name]))
 
     return rows.select(*extra, *[value(n).alias(n) for n in schema.names])
 
 
 def read_inferred_pages(spark: SparkSession, path: str, whole_chunk: bool = True, table: str = "") -> DataFrame:
     """Catalogs whose columns are not fixed; Spark infers the types over all rows."""
-    pages = spark.read.json(path)
+    pages = strict(spark).json(path)
     if "data" not in pages.columns or isinstance(pages.schema["data"].dataType.elementType, T.StringType):
         return spark.createDataFrame([], T.StructType([]))  # only empty pages: nothing to infer from
     if "has_more" not in pages.columns:
         pages = pages.withColumn("has_more", F.lit(False))
     return page_rows(pages, whole_chunk, table)
-
-
-def inferred_columns(df: DataFrame, json_column: str) -> DataFrame:
-    """S9 for JSON text held in a column: one distributed pass merges the types of all rows."""
-    found = df.agg(F.expr(f"schema_of_variant_agg(parse_json({json_column}))")).first()[0]
-    ddl = found.replace("OBJECT<", "STRUCT<")
-    return df.select(F.from_json(json_column, ddl).alias("row")).select("row.*")

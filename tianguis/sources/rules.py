@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.columns import strip
 
@@ -21,16 +18,16 @@ class RuleFileError(RuntimeError):
     """The rule file must not be loaded."""
 
 
-@F.pandas_udf(T.BooleanType())
-def is_pattern(patterns: pd.Series) -> pd.Series:
-    def compiles(p):
+def rejected_patterns(rows: DataFrame) -> list[str]:
+    """The patterns that the plans' own matcher cannot compile. A rule file is small by definition."""
+    compiler = rows.sparkSession._jvm.java.util.regex.Pattern
+    bad = []
+    for pattern in [r.PATRON for r in rows.select("PATRON").distinct().collect()]:
         try:
-            re.compile(p, re.IGNORECASE)
-        except re.error:
-            return False
-        return True
-
-    return patterns.map(compiles, na_action="ignore")
+            compiler.compile("(?iu)" + pattern)
+        except IllegalArgumentException:
+            bad.append(pattern)
+    return bad
 
 
 def include_flag(c: Column) -> Column:
@@ -56,7 +53,7 @@ def check_rules(raw: DataFrame) -> DataFrame:
     ).filter(F.col("PATRON") != "")
     reason = (
         F.when(F.col("ORDEN").isNull(), "ORDEN is not an integer")
-        .when(~is_pattern("PATRON"), "PATRON is not a valid pattern")
+        .when(F.col("PATRON").isin(rejected_patterns(rows)), "PATRON is not a valid pattern")
         .when(F.col("FORMATO") == "", "FORMATO is empty")
         .when(F.col("INCLUIR").isNull(), "INCLUIR is not a boolean")
     )
