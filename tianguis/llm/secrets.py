@@ -124,9 +124,11 @@ def secret_spans(
         )
     )
     nothing = F.array().cast(per_row.schema["spans"].dataType)
-    return scanned.join(per_row, "place", "left").select(
-        "doc_id", F.coalesce("spans", nothing).alias("spans"), *(["row"] if carry else [])
-    )
+    columns = ["doc_id", "spans", *(["row"] if carry else [])]
+    # Rows without a candidate, by far the most, need no shuffle.
+    some = scanned.filter(F.size("found") > 0).join(per_row, "place", "left").withColumn("spans", F.coalesce("spans", nothing))
+    none = scanned.filter(F.size("found") == 0).withColumn("spans", nothing)
+    return some.select(*columns).unionByName(none.select(*columns))
 
 
 def span_list(spans: Column) -> Column:
