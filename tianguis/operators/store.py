@@ -34,7 +34,7 @@ class Store:
         return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def _folders(self, name: str) -> list[str]:
-        path = self._path(name)
+        path = self._path(name) if name else self._path()
         if not self._fs().exists(path):
             return []
         return sorted(s.getPath().getName() for s in self._fs().listStatus(path) if s.isDirectory())
@@ -103,6 +103,13 @@ class Store:
                 return 0
             raise
 
+    def claim(self, empresa: str) -> None:
+        """A store holds one company: its loads replace whole days and catalogs. A second company is refused."""
+        taken = {f.removeprefix("_company=") for f in self._folders("") if f.startswith("_company=")}
+        if taken - {empresa}:
+            raise ValueError(f"{self.root} holds company {', '.join(sorted(taken))}, not {empresa}")
+        self._fs().mkdirs(self._path(f"_company={empresa}"))
+
     def create(self, spec: TableSpec) -> None:
         """The folder of a table with a fixed schema; columns and layout come from its spec."""
         if spec.schema is not None:
