@@ -22,19 +22,27 @@ def summarise(
     sums: dict[str, Column] | None = None,
     mins: dict[str, Column] | None = None,
     maxs: dict[str, Column] | None = None,
+    bits: dict[str, Column] | None = None,
     distinct: list[Distinct] = (),
+    fine_keys: bool = False,
 ) -> DataFrame:
     """Group by ``keys`` with sums, extremes and (conditional) distinct counts.
 
     Two steps. The first groups by the keys *and* each counted column, so a hot key is
     spread over its documents or items and every task combines before the shuffle; the
     second adds up what is left. Conditions on the same column share one pass, where
-    ``count(distinct when(..))`` would copy every row once per condition.
+    ``count(distinct when(..))`` would copy every row once per condition. ``bits`` are or-ed,
+    which counts distinct values of a small range without a pass of its own.
+
+    ``fine_keys`` says that a group holds few documents (a day, item and warehouse, say), so
+    nothing would combine before the shuffle and no group is hot: rows are then dealt by the
+    keys once, and both steps use that.
     """
-    sums, mins, maxs = sums or {}, mins or {}, maxs or {}
+    sums, mins, maxs, bits = sums or {}, mins or {}, maxs or {}, bits or {}
     folds = [(n, F.sum, e) for n, e in sums.items()]
     folds += [(n, F.min, e) for n, e in mins.items()]
     folds += [(n, F.max, e) for n, e in maxs.items()]
+    folds += [(n, F.bit_or, e) for n, e in bits.items()]
     if not distinct:
         return df.groupBy(*keys).agg(*[fold(e).alias(n) for n, fold, e in folds])
 
@@ -46,6 +54,8 @@ def summarise(
     ids = [d.column for d in distinct]
     first = [fold(e).alias(n) for n, fold, e in folds] + [f.alias(n) for n, f in flags.items()]
     if len(ids) == 1:
+        if fine_keys:
+            df = df.repartition(*keys)
         parts = df.groupBy(*keys, *ids).agg(*first)
         in_set = {ids[0]: F.lit(True)}
     else:

@@ -24,6 +24,7 @@ def supplier_month_purchases(t: Tables) -> DataFrame:
             "RECIBIDAS": only(is_receipt(), units),
         },
         distinct=[Distinct("DOCTO_CM_ID", {"COMPRAS": is_receipt(), "DEVOLUCIONES": is_return()})],
+        fine_keys=True,
     )
     named = with_item_and_warehouse(bought, t).join(suppliers(t), ["EMPRESA", "PROVEEDOR_ID"], "left")
     return named.select(
