@@ -5,16 +5,8 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-SF_DIR = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def spark():
     from tianguis.session import local_session
 
     return local_session(4, **{"spark.sql.shuffle.partitions": "4"})
-
-
-def rows(df, *order):
-    """Rows as tuples, in a stable order."""
-    return sorted((tuple(r) for r in df.select(*(order or df.columns)).collect()), key=repr)

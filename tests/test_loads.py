@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tianguis.model import APPEND, FULL_REFRESH, SNAPSHOT, UPSERT, TableSpec, columns
 from tianguis.operators import loads
 from tianguis.operators.store import Store

@@ -13,7 +13,7 @@ from tianguis.operators.store import Store
 from tianguis.plans import inventory, market
 from tianguis.sources.typing import type_rows
 
-from conftest import SF_DIR, rows
+from helpers import SF_DIR, rows
 
 
 def plan(df) -> str:

@@ -8,7 +8,7 @@ from checks.oracles import SQL
 from checks.queries import QUERIES
 from checks.tables import MODEL
 
-from conftest import SF_DIR
+from helpers import SF_DIR
 
 
 @pytest.fixture(scope="module")

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tianguis.functions.columns import ratio, strip
 from tianguis.model import SPECS, Tables
 from tianguis.operators.aggregates import Distinct, pick_first, pick_last, summarise

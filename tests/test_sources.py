@@ -8,7 +8,7 @@ import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
-from conftest import rows
+from helpers import rows
 from tianguis.model import columns
 from tianguis.sources.feeds import SALES_FEEDS, month_delta, opening_balance, snapshot_of, tagged_union
 from tianguis.sources.pages import read_inferred_pages, read_pages, read_pages_with_defaults
