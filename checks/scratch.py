@@ -9,8 +9,10 @@ from pyspark.sql import SparkSession
 
 
 def fresh_folder(spark: SparkSession) -> str:
-    """A new path in the folder all executors share; a session without one gets a local folder."""
+    """A new path in the folder all executors share; a local session without one gets a folder of its own."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = "file://" + tempfile.mkdtemp(prefix="checks-")
     return f"{shared.rstrip('/')}/checks-{uuid.uuid4().hex}"
