@@ -32,7 +32,11 @@ def _encoder(path: str) -> TextEncoder[bytes]:
     tokenizer = load(path)
     merge = tokenizer.model.tokenize
     characters = str.maketrans(dict(zip(map(chr, range(256)), byte_characters())))
-    word = lambda w: _packed([t.id for t in merge(w.encode().decode("latin-1").translate(characters))])
+    known = [_packed([i]) for i in range(tokenizer.get_vocab_size())]
+
+    def word(w: str) -> bytes:
+        return b"".join([known[t.id] for t in merge(w if w.isascii() else w.encode().decode("latin-1").translate(characters))])
+
     text = lambda t: [_packed(tokenizer.encode(t, add_special_tokens=False).ids)]
     return TextEncoder(path, tokenizer, word, text, lambda i: _packed([i]))
 
