@@ -49,3 +49,21 @@ def test_only_texts_unlike_their_language_diverge(documents, language):
     rows = [(i, like(), language) for i in range(30)] + [(99, " ".join(f"{i * 7919}#{i}" for i in range(400)), language)]
     kept = {r.doc_id for r in quality_rules(documents(rows)).filter("kept").collect()}
     assert 99 not in kept and len(kept) >= 29 - 1
+
+
+def prose(rng, commons, share, n=400):
+    """Words that no list holds, and `share` of them from `commons`."""
+    other = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(7))
+    return " ".join(rng.choice(commons) if rng.random() < share else other() for _ in range(n))
+
+
+@pytest.mark.parametrize("language", ["en", "de", "fr", "es"])
+@pytest.mark.parametrize("share", [0.17, 0.3])
+def test_the_word_rule_alone_rejects_a_text_without_common_words(documents, language, share):
+    from tianguis.llm.quality_rules import COMMON_WORDS, MAX_CHARACTER_DISTANCE
+
+    rng = random.Random(7)
+    rows = [(i, prose(rng, COMMON_WORDS[language], share), language) for i in range(60)] + [(99, prose(rng, [], 0), language)]
+    got = {r.doc_id: r for r in quality_rules(documents(rows)).collect()}
+    assert not got[99].kept and not got[99].base_failed and got[99].character_distance < MAX_CHARACTER_DISTANCE / 2
+    assert all(got[i].kept for i in range(60))

@@ -31,7 +31,9 @@ MIN_WORDS_FOR_DIVERGENCE = 100
 #: A reference needs at least as many words in all.
 MIN_REFERENCE_WORDS = 2000
 MAX_CHARACTER_DISTANCE = 0.30
-MAX_WORD_DISTANCE = 0.35
+MAX_WORD_DISTANCE = 0.30
+#: At most this share of the distance that a text without any common word has, so that each reference's limit can be passed.
+MAX_WORD_SHARE = 0.97
 
 
 def _removed(text: Column, pattern: str) -> Column:
@@ -114,12 +116,14 @@ def quality_rules(
     min_reference_words: int = MIN_REFERENCE_WORDS,
     max_character_distance: float = MAX_CHARACTER_DISTANCE,
     max_word_distance: float = MAX_WORD_DISTANCE,
+    max_word_share: float = MAX_WORD_SHARE,
 ) -> DataFrame:
     """One row per input row: doc_id, the counts, base_failed, both distances and kept (and `row`, if asked).
 
     The reference of a language is the sum of the histograms of all its documents that pass the base rules; a document
     is rejected if it fails the base rules or if a histogram of its own is further from its language's reference than
-    allowed. Distances are null, and reject nothing, for short documents, for languages without a word list (null too)
+    allowed. How far words can be from a reference depends on how many common words it has, so their limit is at most a
+    share of the distance that a text without any has. Distances are null, and reject nothing, for short documents, for languages without a word list (null too)
     and for references over too few words. Null text counts as empty. Repeated rows are judged each for itself.
 
     One pass reads the texts and stages the counts; references are sums with map-side combining, at most one row for
@@ -152,6 +156,10 @@ def quality_rules(
             ],
         )
     )
+    other = F.size("ref_commons") - 1
+    without_commons = F.transform("ref_commons", lambda _, i: F.when(i == other, 1.0).otherwise(0.0))
+    reach = jensen_shannon(without_commons, F.col("ref_commons"))
+    reference = reference.withColumn("_word_limit", F.least(F.lit(max_word_distance), reach * max_word_share))
     distances = counts.join(F.broadcast(reference), "_lang", "left")
     for name in size:
         distance = F.when(
@@ -159,7 +167,7 @@ def quality_rules(
         )
         distances = distances.withColumn(f"{name}_distance", distance)
     diverges = F.coalesce(F.col("classes_distance") > max_character_distance, F.lit(False)) | F.coalesce(
-        F.col("commons_distance") > max_word_distance, F.lit(False)
+        F.col("commons_distance") > F.col("_word_limit"), F.lit(False)
     )
     return distances.select(
         "doc_id",
