@@ -54,6 +54,13 @@ def test_round_trip(spark):
         assert got[conv] == (mine, "".join(t for r, t in mine if r == "assistant"))
 
 
+def test_texts_that_begin_with_a_byte_order_mark_are_whole_under_the_mask(spark):
+    texts = ["\ufeffhello", "\ufeff", "\ufeff\ufeff<|", "\ufffe\ufeff", "in \ufeff side", "\ufeff😀"]
+    df = spark.createDataFrame([(1, i, "assistant", t) for i, t in enumerate(texts)], "conv_id long, message_no int, role string, text string")
+    out = render(df).select(loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"), read_turns(F.col("formatted")).alias("turns")).first()
+    assert out.loss == "".join(texts) and [t.text for t in out.turns] == texts
+
+
 @pytest.mark.parametrize("extra", ["", ", place int, turn int, parts int"])
 def test_empty_table(spark, extra):
     assert render(fold_events(spark.createDataFrame([], EVENTS + extra))).collect() == []

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Byte order mark of UTF-32.
+MARK = b"\x00\x00\xfe\xff"
 START, STOP, NEW_LINE = "<|im_start|>", "<|im_end|>", "<|nl|>"
 LOSS_ROLE = "assistant"
 
@@ -99,7 +101,10 @@ def read_turns(formatted: Column) -> Column:
 
 
 def loss_text(formatted: Column, spans: Column) -> Column:
-    """The text under the loss mask, unescaped. Four bytes a code point make each span's place a plain offset."""
+    """The text under the loss mask, unescaped. Four bytes a code point make each span's place a plain offset.
+
+    The decoder drops one leading byte order mark, so each cut gets one of its own and keeps a U+FEFF of the text.
+    """
     wide = F.encode(formatted, "UTF-32")
     cut = lambda s: F.substr(wide, (s["start"] * 4 + 1).cast("int"), ((s["end"] - s["start"]) * 4).cast("int"))
-    return F.array_join(F.transform(spans, lambda s: unescaped(F.decode(cut(s), "UTF-32"))), "")
+    return F.array_join(F.transform(spans, lambda s: unescaped(F.decode(F.concat(F.lit(MARK), cut(s)), "UTF-32"))), "")
