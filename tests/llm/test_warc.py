@@ -1,4 +1,5 @@
 import random
+from urllib.parse import unquote
 
 import pytest
 
@@ -87,6 +88,24 @@ def test_junk_before_between_and_after():
     assert list(salvage(b"")) == []
 
 
+@pytest.mark.parametrize("compressed", [True, False])
+def test_urls_of_any_length_are_read_back(spark, compressed):
+    urls = ["data:," + "x" * 100_000, "http://a/" + "é" * 11_000, "http://a/WARC/1.1", "u" * 65_536, "short"]
+    rows = [(i, u, f"page {i % 4}") for i, u in enumerate(urls)]
+    path = new_path(spark, "warc")
+    write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2), path, compressed=compressed)
+    assert found(spark, path) == expected(rows)
+    read = {r.page_id: r.target_uri for r in read_warc(spark, path).collect()}
+    assert {i: unquote(u) for i, u in read.items()} == dict(enumerate(urls))
+
+
+def test_headers_without_an_end_stop_at_the_next_record():
+    cut, whole = record(1, "u" * 100_000, b"x", None, False, False)[:90_000], record(2, "u" * 100_000, b"y", None, False, False)
+    out = list(salvage(cut + b"\r\n" + whole + cut))
+    assert [(r["kind"], r["offset"], r["length"]) for r in out] == [("gap", 0, 90_002), ("record", 90_002, len(whole)), ("gap", 90_002 + len(whole), 90_000)]
+    assert {r["reason"] for r in out if r["kind"] == "gap"} == {"no end of headers"}
+
+
 def test_query(spark):
     sf_dir = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html").collect()]

@@ -111,6 +111,10 @@ def write_warc(
     )
 
 
+#: Headers go up to an empty line, of any length, but not over the version line of another record.
+HEADERS_END = re.compile(END + rb"|\r\nWARC/1\.[01]\r\n")
+
+
 class Damaged(Exception):
     """A check of a record failed."""
 
@@ -132,9 +136,10 @@ def _inflated(data: memoryview, start: int, step: int = 1 << 16) -> tuple[bytes,
 
 def _parsed(data: bytes, start: int, whole: bool) -> tuple[dict, int]:
     """The record at `start` and where it ends; `whole`: nothing may follow it."""
-    headers_end = data.find(END, start, start + (1 << 16))
-    if headers_end < 0:
+    ended = HEADERS_END.search(data, start)
+    if not ended or ended[0] != END:
         raise Damaged("no end of headers")
+    headers_end = ended.start()
     first, *lines = data[start:headers_end].split(b"\r\n")
     if not re.fullmatch(rb"WARC/1\.[01]", first):
         raise Damaged("no version line")
