@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tianguis.llm.exact_dedup import exact_duplicates
 from tianguis.llm.near_dedup import near_duplicates
-from tianguis.llm.packing import pack_documents
+from tianguis.llm.packing import pack_documents, sequence_pieces
 from tianguis.llm.quality_rules import quality_rules as judged
 from tianguis.llm.secrets import redacted, secret_spans
 from tianguis.llm.staging import staged
@@ -42,8 +42,9 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece of a document, with its sequence and place."""
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """A row per piece of a document, with its token ids, its sequence and its place there."""
+    packed = pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return sequence_pieces(packed).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [

@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from tianguis.llm.packing import pack, pack_documents, plan_bins, sequences, token_pieces
+from tianguis.llm.packing import pack, pack_documents, plan_bins, sequence_pieces, sequences, token_pieces
 from tianguis.llm.queries import op3_best_fit_packing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -94,6 +94,26 @@ def test_pieces_and_sequences(documents):
         assert len(r.ids) == 4 * r.length <= 256
 
 
+def expected_ids(texts):
+    theirs = Tokenizer.from_file(PATH)
+    return {i: [*theirs.encode(t or "", add_special_tokens=False).ids, 0] for i, t in texts}
+
+
+def test_packed_sequences_hold_the_ids_of_every_document(documents):
+    rows = [(1, None), (2, ""), (3, "word " * 300), (5, "ÉÉ<|endoftext|> ß"), (4, "x" * 3000)]
+    want = expected_ids(rows)
+    packed = pack_documents(documents(rows), PATH, capacity=64)
+    found = {}
+    for r in packed.collect():
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert len(ids) == r.length == sum(p.length for p in r.pieces) <= 64
+        for p in r.pieces:
+            found[p.doc_id, p.start] = ids[p.offset : p.offset + p.length]
+    assert {i: sum((found[k] for k in sorted(found) if k[0] == i), []) for i in want} == want
+    cut = {(r.doc_id, r.start): np.frombuffer(r.ids, "<u4").tolist() for r in sequence_pieces(packed).collect()}
+    assert cut == found
+
+
 def test_query(spark):
     sf_dir = "/root/testdata/sf0.001"
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]

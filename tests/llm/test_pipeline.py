@@ -1,11 +1,13 @@
 """The pipeline against brute-force versions of its stages, one after the other."""
 
+import zlib
 from collections import Counter
 
 import corpus_pipeline
+import numpy as np
 import reference
 from test_near_dedup import brute_force as near_links
-from test_packing import check, expected_pieces
+from test_packing import check, expected_ids, expected_pieces
 
 from tianguis.llm.secrets import _cut, find_spans
 
@@ -48,6 +50,16 @@ def test_stages_match_brute_force(spark):
     check(packed, 2048)
 
 
+def test_the_last_stage_returns_the_ids(spark, documents, tmp_path):
+    rows = [(i, " ".join(f"w{i}" for _ in range(i * 900))) for i in range(4)]
+    got = corpus_pipeline.packing(spark, documents(rows), str(tmp_path)).orderBy("doc_id", "start").collect()
+    found = {}
+    for r in got:
+        assert len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32
+        found[r.doc_id] = found.get(r.doc_id, []) + np.frombuffer(r.ids, "<u4").tolist()
+    assert found == expected_ids(rows)
+
+
 def test_empty_documents(spark, documents, tmp_path):
     docs = documents([])
     for _, stage in corpus_pipeline.STAGES:

@@ -10,8 +10,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tianguis.llm.staging import staged
@@ -19,6 +21,9 @@ from tianguis.llm.tokens import TextEncoder, byte_characters, load
 
 CAPACITY = 2048
 SEPARATOR = 0
+#: Texts are tokenised so many at a time, and pieces leave a task in batches of about so many bytes of ids.
+TEXTS_AT_ONCE = 256
+BATCH_BYTES = 8 << 20
 PIECE = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -52,26 +57,40 @@ def token_pieces(
     """A row per piece: doc_id, piece, start, length, ids_crc32 (and `ids`, little-endian 32-bit, if asked).
 
     A document is its ids and one separator id; null text counts as empty and leaves the separator alone. Documents
-    longer than `capacity` are cut into pieces of that length, of which the last may be shorter.
+    longer than `capacity` are cut into pieces of that length, of which the last may be shorter. Texts are taken and
+    pieces given on in small batches, so a task holds few of either.
     """
     tail, size = _packed([SEPARATOR]), 4 * capacity
 
-    def cut(texts: pd.Series) -> pd.Series:
-        encoder, rows = _encoder(tokenizer_path), []
-        for text in texts:
-            ids = b"".join([*encoder.parts(text), tail])
-            pieces = []
-            for k, at in enumerate(range(0, len(ids), size)):
-                part = ids[at : at + size]
-                piece = {"piece": k, "start": at // 4, "length": len(part) // 4, "ids_crc32": zlib.crc32(part)}
-                pieces.append(piece | {"ids": part} if with_ids else piece)
-            rows.append(pieces)
-        return pd.Series(rows, dtype=object)
-
-    kind = PIECE + (", ids binary" if with_ids else "")
-    made = F.pandas_udf(cut, f"array<struct<{kind.replace(' ', ':').replace(',:', ',')}>>")
-    pieces = df.select(F.col(f"`{id_col}`").alias("doc_id"), made(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("pieces"))
-    return pieces.select("doc_id", F.explode("pieces").alias("p")).select("doc_id", "p.*")
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(tokenizer_path)
+        for batch in batches:
+            for first in range(0, len(batch), TEXTS_AT_ONCE):
+                few = batch.slice(first, TEXTS_AT_ONCE)
+                rows, held = [], 0
+                for n, text in enumerate(few.column(1).to_pylist()):
+                    ids = b"".join([*encoder.parts(text), tail])
+                    for k, at in enumerate(range(0, len(ids), size)):
+                        part = ids[at : at + size]
+                        rows.append((n, k, at // 4, len(part) // 4, zlib.crc32(part), *([part] if with_ids else [])))
+                        held += len(part)
+                        if held > BATCH_BYTES:
+                            yield _pieces(few, rows)
+                            rows, held = [], 0
+                if rows:
+                    yield _pieces(few, rows)
+
+    texts = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    kind = T.StructType([texts.schema["doc_id"], *T.StructType.fromDDL(PIECE + (", ids binary" if with_ids else "")).fields])
+    return texts.mapInArrow(cut, kind)
+
+
+def _pieces(texts: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
+    places, *columns = zip(*rows)
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    names = ["piece", "start", "length", "ids_crc32", "ids"]
+    arrays = [texts.column(0).take(pa.array(places)), *[pa.array(c, k) for c, k in zip(columns, kinds)]]
+    return pa.RecordBatch.from_arrays(arrays, ["doc_id", *names[: len(columns)]])
 
 
 class Pattern(NamedTuple):
@@ -203,16 +222,34 @@ def pack(items: DataFrame, capacity: int = CAPACITY, salts: int | None = None) -
 
 
 def pack_documents(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """The pieces of all documents with their sequence and place; see `token_pieces` and `pack`."""
-    return pack(token_pieces(df, tokenizer_path, id_col, text_col, capacity), capacity)
+    """The packed sequences of all documents, with their ids and pieces; see `token_pieces`, `pack` and `sequences`."""
+    pieces = token_pieces(df, tokenizer_path, id_col, text_col, capacity, with_ids=True).drop("ids_crc32")
+    return sequences(pack(pieces, capacity))
 
 
 def sequences(packed: DataFrame) -> DataFrame:
-    """Whole sequences of packed pieces that carry `ids`: sequence_id, length, ids. A sequence is bounded by the capacity."""
-    parts = F.sort_array(F.collect_list(F.struct("offset", "ids")))
+    """Whole sequences of packed pieces that carry `ids`: sequence_id, length, ids and pieces, by their offset.
+
+    A sequence is bounded by the capacity, and so is what a group holds.
+    """
+    piece = ["offset", "doc_id", "piece", "start", "length"]
+
     joined = F.aggregate("parts", F.lit(b""), lambda done, part: F.concat(done, part["ids"]))
     return (
         packed.groupBy("sequence_id")
-        .agg(F.sum("length").alias("length"), parts.alias("parts"))
-        .select("sequence_id", "length", joined.alias("ids"))
+        .agg(F.sum("length").alias("length"), F.sort_array(F.collect_list(F.struct(*piece, "ids"))).alias("parts"))
+        .select(
+            "sequence_id",
+            "length",
+            joined.alias("ids"),
+            F.transform("parts", lambda p: F.struct(*[p[c].alias(c) for c in piece])).alias("pieces"),
+        )
+    )
+
+
+def sequence_pieces(packed: DataFrame) -> DataFrame:
+    """A row per piece of whole sequences: doc_id, piece, start, length, sequence_id, offset and its ids, cut out of the sequence's."""
+    ids = F.substring("ids", F.col("p.offset").cast("int") * 4 + 1, F.col("p.length").cast("int") * 4)
+    return packed.select("sequence_id", "ids", F.explode("pieces").alias("p")).select(
+        "p.doc_id", "p.piece", "p.start", "p.length", "sequence_id", "p.offset", ids.alias("ids")
     )

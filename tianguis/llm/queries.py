@@ -13,11 +13,11 @@ from tianguis.llm.bpe import bpe_digests
 from tianguis.llm.chat import fold_events, loss_text, read_turns, render
 from tianguis.llm.exact_dedup import exact_duplicates
 from tianguis.llm.near_dedup import near_duplicates
-from tianguis.llm.packing import pack_documents
+from tianguis.llm.packing import pack_documents, sequence_pieces
 from tianguis.llm.quality_classifier import quality_scores
 from tianguis.llm.quality_rules import quality_rules
 from tianguis.llm.secrets import KINDS, base_spans, secret_spans, span_list
-from tianguis.llm.staging import new_path
+from tianguis.llm.staging import new_path, staged
 from tianguis.llm.suffix_dedup import repeated_spans, span_digests
 from tianguis.llm.warc import read_warc, write_warc
 
@@ -84,7 +84,9 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    packed = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    pieces = sequence_pieces(staged(packed, "sequences"))
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
 @query
