@@ -14,6 +14,7 @@ from tianguis.llm.chat import fold_events, loss_text, read_turns, render
 from tianguis.llm.exact_dedup import exact_duplicates
 from tianguis.llm.near_dedup import near_duplicates
 from tianguis.llm.packing import pack_documents, sequence_pieces
+from tianguis.llm.periodic_runs import longest_run, periodic_runs, with_planted_runs
 from tianguis.llm.quality_classifier import quality_scores
 from tianguis.llm.quality_rules import quality_rules
 from tianguis.llm.secrets import KINDS, base_spans, secret_spans, span_list
@@ -153,3 +154,18 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(repeated_spans(table(spark, sf_dir, "documents")))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select("*", longest_run(F.col("runs")).alias("longest")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "longest.*",
+        F.expr("1000 * longest.length div longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
