@@ -21,6 +21,7 @@ from tianguis.llm.secrets import KINDS, base_spans, secret_spans, span_list
 from tianguis.llm.staging import new_path, staged
 from tianguis.llm.suffix_dedup import repeated_spans, span_digests
 from tianguis.llm.warc import read_warc, write_warc
+from tianguis.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -169,3 +170,8 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
         "n_words",
     )
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
