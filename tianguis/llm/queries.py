@@ -17,6 +17,7 @@ from tianguis.llm.packing import pack_documents, sequence_pieces
 from tianguis.llm.periodic_runs import longest_run, periodic_runs, with_planted_runs
 from tianguis.llm.quality_classifier import quality_scores
 from tianguis.llm.quality_rules import quality_rules
+from tianguis.llm.repeated_phrases import passage_digests, repeated_passages
 from tianguis.llm.secrets import KINDS, base_spans, secret_spans, span_list
 from tianguis.llm.staging import new_path, staged
 from tianguis.llm.suffix_dedup import repeated_spans, span_digests
@@ -172,6 +173,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_digests(repeated_passages(table(spark, sf_dir, "documents")))
+
+
 @query
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))

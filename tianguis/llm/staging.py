@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -33,3 +34,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let the cleaner drop the shuffle files of jobs that are over, as soon as what they gave has been staged.
+
+    Spark drops them when the driver happens to collect its garbage, which a driver with little to do does late.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
