@@ -1,22 +1,25 @@
 """L1-L10 on files: idempotent, only the concerned partitions change."""
 
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from helpers import rows
-from tianguis.model import APPEND, FULL_REFRESH, SNAPSHOT, UPSERT, TableSpec, columns
-from tianguis.operators import loads
-from tianguis.operators.store import Store
+from tianguis.functions.columns import utc
+from tianguis.model import APPEND, FULL_REFRESH, SNAPSHOT, UPSERT, TableSpec
+from tianguis.operators.live import ConcurrentLoad, Pointers
+from tianguis.operators.store import SchemaChange, Store, reconciled
 
-FACT = TableSpec("ventas", columns("ID L!, FECHA D!, N N"), "replace_range", partition_by="FECHA", cluster_by=("ID",), retention_days=10)
-DOCS = TableSpec("docs", columns("ID L!, FECHA D!, N N"), UPSERT, key="ID", partition_by="FECHA")
-DIM = TableSpec("dim", columns("ID L!, NOMBRE S"), FULL_REFRESH)
-SNAP = TableSpec("snap", columns("DIA D!, ID L!"), SNAPSHOT, partition_by="DIA")
-LOG = TableSpec("log", columns("k S!, n L!"), APPEND)
+FACT = TableSpec("ventas", "ID BIGINT NOT NULL, FECHA DATE NOT NULL, N DECIMAL(38,9)", "replace_range", partition_by="FECHA", cluster_by=("ID",), retention_days=10)
+DOCS = TableSpec("docs", "ID BIGINT NOT NULL, FECHA DATE NOT NULL, N DECIMAL(38,9)", UPSERT, key="ID", partition_by="FECHA")
+DIM = TableSpec("dim", "ID BIGINT NOT NULL, NOMBRE STRING", FULL_REFRESH)
+SNAP = TableSpec("snap", "DIA DATE NOT NULL, ID BIGINT NOT NULL", SNAPSHOT, partition_by="DIA")
+LOG = TableSpec("log", "k STRING NOT NULL, n BIGINT NOT NULL", APPEND)
 
 D = lambda day: date(2026, 9, day)
 
@@ -47,10 +50,9 @@ def test_unwritten_tables_are_empty_and_typed(store):
 def test_replace_range_clears_days_without_rows_and_is_idempotent(spark, store):
     store.replace_range(FACT, facts(spark, (1, 1, 10), (2, 2, 20), (3, 3, 30), (4, 4, 40)), D(1), D(4))
     for _ in range(2):
-        n = store.replace_range(FACT, facts(spark, (5, 2, 50)), D(2), D(3))
-        assert n == 1
+        assert store.replace_range(FACT, facts(spark, (5, 2, 50)), D(2), D(3)) == {"2026-09-02": 1}
         assert content(store, FACT) == [(1, D(1), 10), (4, D(4), 40), (5, D(2), 50)]
-    assert store.replace_range(FACT, facts(spark), D(4), D(5)) == 0
+    assert store.replace_range(FACT, facts(spark), D(4), D(5)) == {}
     assert content(store, FACT) == [(1, D(1), 10), (5, D(2), 50)]
 
 
@@ -75,13 +77,13 @@ def test_failed_load_leaves_the_old_rows(spark, store):
 
 
 def test_upsert_moves_rows_between_days(spark, store):
-    assert store.upsert(DOCS, facts(spark, (1, 1, 10), (2, 1, 20), (3, 2, 30))) == 3
+    assert store.upsert(DOCS, facts(spark, (1, 1, 10), (2, 1, 20), (3, 2, 30))) == {"2026-09-01": 2, "2026-09-02": 1}
     for _ in range(2):
         # 1 moves to another day, 3 leaves its day empty, NULL overwrites a value, 4 is new.
         store.upsert(DOCS, facts(spark, (1, 5, 11), (3, 5, None), (4, 6, 44)))
         assert content(store, DOCS) == [(1, D(5), 11), (2, D(1), 20), (3, D(5), None), (4, D(6), 44)]
     assert set(store.partitions(DOCS)) == {"2026-09-01", "2026-09-05", "2026-09-06"}
-    assert store.upsert(DOCS, facts(spark)) == 0
+    assert store.upsert(DOCS, facts(spark)) == {}
 
 
 def test_upsert_refuses_or_resolves_duplicate_keys(spark, store):
@@ -98,11 +100,11 @@ def test_full_refresh_versions(spark, store):
     store.full_refresh(DIM, dim(1, 2))
     store.full_refresh(DIM, dim(3))
     assert rows(store.read(DIM)) == [(3, "3")]
-    assert store.full_refresh(DIM, dim()) == 0
+    assert store.full_refresh(DIM, dim()) == {}
     assert rows(store.read(DIM)) == [(3, "3")]
     store.full_refresh(DIM, store.read(DIM).unionByName(dim(4)))  # may read what it replaces
     assert rows(store.read(DIM)) == [(3, "3"), (4, "4")]
-    assert len([f for f in store._folders("dim")]) == 2
+    assert len([f for f in store.files.names("dim") if f.startswith("_load=")]) == 2  # one for readers still on it
 
 
 def test_snapshot_day(spark, store):
@@ -122,27 +124,131 @@ def test_append(spark, store):
 
 def test_new_columns_read_as_null_in_old_files(spark, store):
     store.replace_range(FACT, facts(spark, (1, 1, 10)), D(1), D(1))
-    wider = TableSpec("ventas", columns("ID L!, FECHA D!, N N, IMPUESTOS N"), "replace_range", partition_by="FECHA")
+    wider = TableSpec("ventas", "ID BIGINT NOT NULL, FECHA DATE NOT NULL, N DECIMAL(38,9), IMPUESTOS DECIMAL(38,9)", "replace_range", partition_by="FECHA")
     store.replace_range(wider, facts(spark, (2, 2, 20)).withColumn("IMPUESTOS", F.lit(Decimal(3))), D(2), D(2))
     assert [(r[0], r[3]) for r in rows(store.read(wider))] == [(1, None), (2, Decimal(3))]
 
 
-def test_missing_columns_are_added_whatever_their_case(spark):
-    df = spark.createDataFrame([(1, 2)], "id long, impuestos long")
-    out = loads.add_missing_columns(df, columns("ID L!, IMPUESTOS N, IMPORTE_TOTAL N!"))
-    assert out.columns == ["id", "impuestos", "IMPORTE_TOTAL"] and out.schema["IMPORTE_TOTAL"].nullable
-    assert loads.add_missing_columns(out, columns("ID L!")).columns == out.columns
+def test_a_table_keeps_all_its_columns(spark, store):
+    ddl = T.StructType.fromDDL
+    out = reconciled(ddl("id BIGINT NOT NULL, impuestos DECIMAL(38,9)"), ddl("ID BIGINT NOT NULL, IMPUESTOS DECIMAL(38,9), TOTAL BIGINT NOT NULL"), "t")
+    assert out == ddl("id BIGINT NOT NULL, impuestos DECIMAL(38,9), TOTAL BIGINT")
+    assert reconciled(out, ddl("ID BIGINT"), "t") == out
+    store.create(FACT)
+    assert store.columns(FACT).names == ["ID", "FECHA", "N"]
+    wider = TableSpec("ventas", f"{FACT.ddl}, impuestos DECIMAL(38,9)", "replace_range", partition_by="FECHA")
+    store.create(wider)
+    store.create(wider)
+    assert store.columns(FACT).names == ["ID", "FECHA", "N", "impuestos"] and store.live(FACT).number == 2
+    store.replace_range(FACT, facts(spark, (1, 1, 10)), D(1), D(1))  # an older program keeps the column
+    assert store.columns(FACT).names == ["ID", "FECHA", "N", "impuestos"]
+
+
+def test_a_changed_type_is_refused_before_anything_is_written(spark, store):
+    store.replace_range(FACT, facts(spark, (1, 1, 10)), D(1), D(1))
+    before = store.live(FACT)
+    other = TableSpec("ventas", "ID BIGINT NOT NULL, FECHA DATE NOT NULL, n STRING", "replace_range", partition_by="FECHA")
+    bad = facts(spark, (2, 1, 20)).select("ID", "FECHA", F.raise_error("never read").alias("n"))
+    for load in (lambda: store.create(other), lambda: store.replace_range(other, bad, D(1), D(1))):
+        with pytest.raises(SchemaChange, match="N is decimal"):
+            load()
+    assert store.live(FACT) == before and content(store, FACT) == [(1, D(1), 10)]
+
+
+def test_a_reader_sees_the_table_of_one_moment(spark, store):
+    """Files of the state before stay for readers, and a load in between does not show in parts."""
+    store.replace_range(FACT, facts(spark, (1, 1, 10), (2, 2, 20)), D(1), D(2))
+    reader = store.read(FACT)
+    store.replace_range(FACT, facts(spark, (3, 2, 30)), D(1), D(2))
+    assert rows(reader, "ID") == [(1,), (2,)] and rows(store.read(FACT), "ID") == [(3,)]
+    store.replace_range(FACT, facts(spark, (4, 3, 40)), D(3), D(3))
+    named = set().union(*[Pointers(store.files, "ventas")._read(n).loads() for n in Pointers(store.files, "ventas")._numbers()])
+    assert {f.partition("=")[2] for f in store.files.names("ventas") if f.startswith("_load=")} == named and len(named) == 2
+
+
+def test_of_two_loads_at_once_one_fails(spark, store):
+    """A backfill begins, a night commits, and the backfill ends: its rows do not undo the night's."""
+    store.replace_range(FACT, facts(spark, (1, 1, 10)), D(1), D(1))
+    write = store._write
+
+    def slow(df, spec, load):
+        store._write = write
+        store.replace_range(FACT, facts(spark, (2, 2, 20)), D(2), D(2))
+        return write(df, spec, load)
+
+    store._write = slow
+    with pytest.raises(ConcurrentLoad):
+        store.replace_range(FACT, facts(spark, (3, 1, 30), (4, 2, 40)), D(1), D(2))
+    assert content(store, FACT) == [(1, D(1), 10), (2, D(2), 20)]
+    store.replace_range(FACT, facts(spark, (3, 1, 30), (4, 2, 40)), D(1), D(2))
+    assert content(store, FACT) == [(3, D(1), 30), (4, D(2), 40)]
+
+
+def test_a_load_that_dies_before_its_commit_changes_nothing(spark, store, monkeypatch):
+    store.upsert(DOCS, facts(spark, (1, 1, 10), (2, 2, 20)))
+    before = store.live(DOCS)
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(Pointers, "commit", killed)
+        with pytest.raises(KeyboardInterrupt):
+            store.upsert(DOCS, facts(spark, (1, 3, 11)))
+    assert store.live(DOCS) == before and content(store, DOCS) == [(1, D(1), 10), (2, D(2), 20)]
+    for _ in range(3):
+        store.upsert(DOCS, facts(spark, (1, 3, 11)))
+    left = {f.partition("=")[2] for f in store.files.names("docs") if f.startswith(("_load=", "_index="))}
+    assert left == set().union(*[Pointers(store.files, "docs")._read(n).loads() for n in Pointers(store.files, "docs")._numbers()])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_the_index_finds_what_a_full_scan_would(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    store, expected = Store(spark, str(tmp_path / "store"), keys_per_range=4), {}
+    for _ in range(4):
+        batch = {rng.randrange(-6, 30): (rng.randrange(1, 20), rng.randrange(100)) for _ in range(rng.randrange(1, 12))}
+        store.upsert(DOCS, facts(spark, *[(k, d, n) for k, (d, n) in batch.items()]))
+        expected |= batch
+        assert content(store, DOCS) == sorted([(k, D(d), n) for k, (d, n) in expected.items()], key=repr)
+        index = store._indexed(DOCS, store.live(DOCS), list(store.live(DOCS).index))
+        assert rows(index, "ID", "FECHA") == sorted([(k, D(d)) for k, (d, _) in expected.items()], key=repr)
+
+
+def test_only_touched_ranges_of_the_index_are_read_and_written(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"), keys_per_range=10)
+    store.upsert(DOCS, facts(spark, (5, 1, 1), (15, 2, 2), (25, 3, 3)))
+    before = store.live(DOCS)
+    read = []
+    indexed = store._indexed
+    store._indexed = lambda spec, live, ranges: read.append(indexed(spec, live, ranges)) or read[-1]
+    store.upsert(DOCS, facts(spark, (16, 4, 4)))
+    after = store.live(DOCS)
+    assert [p for p in after.index if after.index[p] != before.index[p]] == ["1"]
+    assert len(read[0].inputFiles()) == 1 and "_range=1/" in read[0].inputFiles()[0]
+    assert {d for d in after.folders if after.folders[d] != before.folders.get(d)} == {"2026-09-04"}
+
+
+def test_keys_that_are_text_are_indexed_by_hash(spark, store):
+    spec = TableSpec("textos", "K STRING NOT NULL, FECHA DATE NOT NULL", UPSERT, key="K", partition_by="FECHA")
+    make = lambda *data: spark.createDataFrame([(k, D(d)) for k, d in data], spec.schema)
+    store.upsert(spec, make(("a", 1), ("b", 1)))
+    store.upsert(spec, make(("a", 2), ("c", 3)))
+    assert rows(store.read(spec)) == [("a", D(2)), ("b", D(1)), ("c", D(3))]
 
 
 def test_retention(spark, store):
     store.replace_range(FACT, facts(spark, (1, 1, 1), (2, 5, 2), (3, 15, 3)), D(1), D(15))
     assert store.expire(FACT, D(15)) == ["2026-09-01"]
     assert [r[0] for r in content(store, FACT)] == [2, 3]
-    assert [r[0] for r in rows(loads.retained(facts(spark, (1, 1, 1), (2, 5, 2)), "FECHA", 10, D(15)))] == [2]
     assert store.expire(DIM, D(15)) == []
 
 
 def test_load_times_are_utc(spark, store):
-    spec = TableSpec("t", columns("a T!"), APPEND)
-    store.append(spec, spark.createDataFrame([(datetime(2026, 9, 1, 12),)], spec.schema))
-    assert store.read(spec).selectExpr("date_format(a, 'HH')").first()[0] is not None
+    """A load time is a moment: whatever the zone of the session that reads it, the same number of seconds."""
+    spec = TableSpec("t", "a TIMESTAMP NOT NULL", APPEND)
+    for hour, zone in ((14, timezone.utc), (8, timezone(timedelta(hours=-6)))):
+        store.append(spec, spark.range(1).select(utc(datetime(2026, 9, 1, hour, tzinfo=zone)).alias("a")))
+    for zone in ("America/Mexico_City", "UTC"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        assert [r[0] for r in store.read(spec).selectExpr("unix_seconds(a)").collect()] == [1788271200] * 2

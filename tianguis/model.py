@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from functools import cached_property
 from typing import Callable
 
 from pyspark.sql import DataFrame
@@ -16,36 +17,13 @@ REPLACE_MONTHS = "replace_months"
 SNAPSHOT = "snapshot"
 APPEND = "append"
 
-# One letter per column type, as used in the column lists below.
-TYPES: dict[str, T.DataType] = {
-    "L": T.LongType(),
-    "S": T.StringType(),
-    "N": T.DecimalType(38, 9),
-    "B": T.BooleanType(),
-    "D": T.DateType(),
-    "T": T.TimestampType(),
-    "Z": T.TimestampNTZType(),
-}
-
-
-def columns(text: str) -> T.StructType:
-    """``"ID L!, NOMBRE S"`` -> schema; ``!`` marks a required column."""
-    fields = []
-    for item in text.split(","):
-        name, letter = item.split()
-        fields.append(T.StructField(name, TYPES[letter[0]], not letter.endswith("!")))
-    return T.StructType(fields)
-
-
-META = columns("EMPRESA S!, _synced_at T!")
-
 
 @dataclass(frozen=True)
 class TableSpec:
-    """One warehouse table. ``schema`` is None where column types are inferred."""
+    """One warehouse table. ``ddl`` lists its columns; it is None where column types are inferred."""
 
     name: str
-    schema: T.StructType | None
+    ddl: str | None
     load: str = FULL_REFRESH
     key: str = ""
     partition_by: str = ""
@@ -54,18 +32,21 @@ class TableSpec:
     chunk_days: int = 7
     whole_chunk: bool = False  # the source answers in one page; has_more means truncated
 
+    @cached_property
+    def schema(self) -> T.StructType | None:
+        """The columns as Spark reads the list; asked for when a session is there."""
+        return None if self.ddl is None else T.StructType.fromDDL(self.ddl)
+
     @property
     def required(self) -> list[str]:
         return [] if self.schema is None else [f.name for f in self.schema if not f.nullable]
 
 
-def _spec(name: str, cols: str | None, meta: bool = True, **kw) -> TableSpec:
-    schema = None
-    if cols is not None:
-        schema = columns(cols)
-        if meta:
-            schema = T.StructType(schema.fields + META.fields)
-    return TableSpec(name, schema, **kw)
+META = "EMPRESA STRING NOT NULL, _synced_at TIMESTAMP NOT NULL"
+
+
+def _spec(name: str, ddl: str | None, meta: bool = True, **kw) -> TableSpec:
+    return TableSpec(name, f"{ddl}, {META}" if ddl is not None and meta else ddl, **kw)
 
 
 FACT_RETENTION_DAYS = 1100
@@ -75,28 +56,32 @@ SNAPSHOT_RETENTION_DAYS = 400
 CATALOGS = (
     _spec(
         "dim_clientes",
-        "CLIENTE_ID L!, NOMBRE S, ESTATUS S, CAUSA_SUSP S, FECHA_SUSP D, VENDEDOR_ID L, COBRADOR_ID L,"
-        "TIPO_CLIENTE_ID L, ZONA_CLIENTE_ID L, COND_PAGO_ID L, MONEDA_ID L, PRECIO_EMPRESA_ID L,"
-        "LIMITE_CREDITO N, CONTACTO1 S, FECHA_HORA_CREACION Z, FECHA_HORA_ULT_MODIF Z",
+        "CLIENTE_ID BIGINT NOT NULL, NOMBRE STRING, ESTATUS STRING, CAUSA_SUSP STRING, FECHA_SUSP DATE, VENDEDOR_ID BIGINT, "
+        "COBRADOR_ID BIGINT, TIPO_CLIENTE_ID BIGINT, ZONA_CLIENTE_ID BIGINT, COND_PAGO_ID BIGINT, MONEDA_ID BIGINT, "
+        "PRECIO_EMPRESA_ID BIGINT, LIMITE_CREDITO DECIMAL(38,9), CONTACTO1 STRING, FECHA_HORA_CREACION TIMESTAMP_NTZ, "
+        "FECHA_HORA_ULT_MODIF TIMESTAMP_NTZ",
     ),
     _spec(
         "dim_articulos",
-        "ARTICULO_ID L!, NOMBRE S, ESTATUS S, CAUSA_SUSP S, FECHA_SUSP D, LINEA_ARTICULO_ID L, UNIDAD_VENTA S,"
-        "UNIDAD_COMPRA S, CONTENIDO_UNIDAD_COMPRA N, PESO_UNITARIO N, ES_ALMACENABLE S, ES_JUEGO S,"
-        "ES_IMPORTADO S, ES_PRECIO_VARIABLE S, DIAS_GARANTIA L, FECHA_HORA_CREACION Z, FECHA_HORA_ULT_MODIF Z",
+        "ARTICULO_ID BIGINT NOT NULL, NOMBRE STRING, ESTATUS STRING, CAUSA_SUSP STRING, FECHA_SUSP DATE, "
+        "LINEA_ARTICULO_ID BIGINT, UNIDAD_VENTA STRING, UNIDAD_COMPRA STRING, CONTENIDO_UNIDAD_COMPRA DECIMAL(38,9), "
+        "PESO_UNITARIO DECIMAL(38,9), ES_ALMACENABLE STRING, ES_JUEGO STRING, ES_IMPORTADO STRING, ES_PRECIO_VARIABLE STRING, "
+        "DIAS_GARANTIA BIGINT, FECHA_HORA_CREACION TIMESTAMP_NTZ, FECHA_HORA_ULT_MODIF TIMESTAMP_NTZ",
     ),
     _spec(
         "dim_proveedores",
-        "PROVEEDOR_ID L!, NOMBRE S, ESTATUS S, RFC_CURP S, TIPO_PROV_ID L, COND_PAGO_ID L, MONEDA_ID L,"
-        "CIUDAD_ID L, ESTADO_ID L, PAIS_ID L, LIMITE_CREDITO N, EMAIL S, TELEFONO1 S, CONTACTO1 S,"
-        "EXTRANJERO S, FECHA_HORA_CREACION Z, FECHA_HORA_ULT_MODIF Z",
+        "PROVEEDOR_ID BIGINT NOT NULL, NOMBRE STRING, ESTATUS STRING, RFC_CURP STRING, TIPO_PROV_ID BIGINT, "
+        "COND_PAGO_ID BIGINT, MONEDA_ID BIGINT, CIUDAD_ID BIGINT, ESTADO_ID BIGINT, PAIS_ID BIGINT, "
+        "LIMITE_CREDITO DECIMAL(38,9), EMAIL STRING, TELEFONO1 STRING, CONTACTO1 STRING, EXTRANJERO STRING, "
+        "FECHA_HORA_CREACION TIMESTAMP_NTZ, FECHA_HORA_ULT_MODIF TIMESTAMP_NTZ",
     ),
     _spec(
         "dim_almacenes",
-        "ALMACEN_ID L!, NOMBRE S, NOMBRE_ABREV S, ES_PPAL S, ES_PREDET S, OCULTO S, POBLACION S, CIUDAD S, ESTADO S",
+        "ALMACEN_ID BIGINT NOT NULL, NOMBRE STRING, NOMBRE_ABREV STRING, ES_PPAL STRING, ES_PREDET STRING, OCULTO STRING, "
+        "POBLACION STRING, CIUDAD STRING, ESTADO STRING",
     ),
-    _spec("dim_vendedores", "VENDEDOR_ID L!, NOMBRE S, ES_PREDET S, OCULTO S"),
-    _spec("dim_lineas", "LINEA_ARTICULO_ID L!, NOMBRE S, CLAVE S, GRUPO_LINEA_ID L, ES_PREDET S, OCULTO S"),
+    _spec("dim_vendedores", "VENDEDOR_ID BIGINT NOT NULL, NOMBRE STRING, ES_PREDET STRING, OCULTO STRING"),
+    _spec("dim_lineas", "LINEA_ARTICULO_ID BIGINT NOT NULL, NOMBRE STRING, CLAVE STRING, GRUPO_LINEA_ID BIGINT, ES_PREDET STRING, OCULTO STRING"),
 )
 
 AUX_CATALOGS = tuple(
@@ -106,30 +91,33 @@ AUX_CATALOGS = tuple(
 
 ITEM_SUPPLIERS = _spec(
     "dim_articulo_proveedor",
-    "PRECIO_COMPRA_ID L!, ARTICULO_ID L!, PROVEEDOR_ID L!, ES_PROV_PREDET B, PRIORIDAD_COMPRA S, CLAVE_ART_PROV S,"
-    "UNIDAD_COMPRA S, CONTENIDO_UNIDAD_COMPRA N, UNIDADES_MIN_UCOM N, FECHA_PRECIO_ULT_COMPRA D,"
-    "DIAS_ENTREGA_PROM N, TOT_DIAS_ENTREGA N, NUM_COMPRAS L, FECHA_HORA_ULT_MODIF Z",
+    "PRECIO_COMPRA_ID BIGINT NOT NULL, ARTICULO_ID BIGINT NOT NULL, PROVEEDOR_ID BIGINT NOT NULL, ES_PROV_PREDET BOOLEAN, "
+    "PRIORIDAD_COMPRA STRING, CLAVE_ART_PROV STRING, UNIDAD_COMPRA STRING, CONTENIDO_UNIDAD_COMPRA DECIMAL(38,9), "
+    "UNIDADES_MIN_UCOM DECIMAL(38,9), FECHA_PRECIO_ULT_COMPRA DATE, DIAS_ENTREGA_PROM DECIMAL(38,9), "
+    "TOT_DIAS_ENTREGA DECIMAL(38,9), NUM_COMPRAS BIGINT, FECHA_HORA_ULT_MODIF TIMESTAMP_NTZ",
 )
 
 ITEM_CODES = _spec(
     "dim_articulo_claves",
-    "CLAVE_ARTICULO_ID L!, ARTICULO_ID L!, ROL_CLAVE_ART_ID L, ROL S, ES_PPAL S, ES_GTIN S, CLAVE_ARTICULO S,"
-    "CONTENIDO_EMPAQUE N",
+    "CLAVE_ARTICULO_ID BIGINT NOT NULL, ARTICULO_ID BIGINT NOT NULL, ROL_CLAVE_ART_ID BIGINT, ROL STRING, ES_PPAL STRING, "
+    "ES_GTIN STRING, CLAVE_ARTICULO STRING, CONTENIDO_EMPAQUE DECIMAL(38,9)",
     cluster_by=("ARTICULO_ID",),
 )
 
-CHANNEL_RULES = _spec("dim_formato_venta", "ORDEN L!, PATRON S!, FORMATO S!, INCLUIR B!")
+CHANNEL_RULES = _spec("dim_formato_venta", "ORDEN BIGINT NOT NULL, PATRON STRING NOT NULL, FORMATO STRING NOT NULL, INCLUIR BOOLEAN NOT NULL")
 
 SALES_DOCS = _spec(
     "ventas_documentos",
-    "DOCTO_VE_ID L!, TIPO_DOCTO S, SUBTIPO_DOCTO S, SUCURSAL_ID L, FOLIO S, FECHA D!, HORA S, CLIENTE_ID L,"
-    "CLAVE_CLIENTE S, CLIENTE_NOMBRE S, DIR_CLI_ID L, ALMACEN_ID L, VENDEDOR_ID L, MONEDA_ID L, TIPO_CAMBIO N,"
-    "ESTATUS S, APLICADO S, TIPO_DSCTO S, DSCTO_PCTJE N, DSCTO_IMPORTE N, IMPORTE_NETO N, FLETES N,"
-    "OTROS_CARGOS N, TOTAL_IMPUESTOS N, TOTAL_RETENCIONES N, TOTAL_ANTICIPOS N, IMPORTE_COBRO N,"
-    "COND_PAGO_ID L, VIA_EMBARQUE_ID L, PCTJE_COMIS N, ORDEN_COMPRA S, FECHA_ORDEN_COMPRA D, DESCRIPCION S,"
-    "SISTEMA_ORIGEN S, FORMA_EMITIDA S, ES_CFD S, METODO_PAGO_SAT S, USO_CFDI S, CFDI_FACT_DEVUELTA_ID L,"
-    "USUARIO_CREADOR S, FECHA_HORA_CREACION Z, USUARIO_ULT_MODIF S, FECHA_HORA_ULT_MODIF Z,"
-    "USUARIO_CANCELACION S, FECHA_HORA_CANCELACION Z",
+    "DOCTO_VE_ID BIGINT NOT NULL, TIPO_DOCTO STRING, SUBTIPO_DOCTO STRING, SUCURSAL_ID BIGINT, FOLIO STRING, "
+    "FECHA DATE NOT NULL, HORA STRING, CLIENTE_ID BIGINT, CLAVE_CLIENTE STRING, CLIENTE_NOMBRE STRING, DIR_CLI_ID BIGINT, "
+    "ALMACEN_ID BIGINT, VENDEDOR_ID BIGINT, MONEDA_ID BIGINT, TIPO_CAMBIO DECIMAL(38,9), ESTATUS STRING, APLICADO STRING, "
+    "TIPO_DSCTO STRING, DSCTO_PCTJE DECIMAL(38,9), DSCTO_IMPORTE DECIMAL(38,9), IMPORTE_NETO DECIMAL(38,9), "
+    "FLETES DECIMAL(38,9), OTROS_CARGOS DECIMAL(38,9), TOTAL_IMPUESTOS DECIMAL(38,9), TOTAL_RETENCIONES DECIMAL(38,9), "
+    "TOTAL_ANTICIPOS DECIMAL(38,9), IMPORTE_COBRO DECIMAL(38,9), COND_PAGO_ID BIGINT, VIA_EMBARQUE_ID BIGINT, "
+    "PCTJE_COMIS DECIMAL(38,9), ORDEN_COMPRA STRING, FECHA_ORDEN_COMPRA DATE, DESCRIPCION STRING, SISTEMA_ORIGEN STRING, "
+    "FORMA_EMITIDA STRING, ES_CFD STRING, METODO_PAGO_SAT STRING, USO_CFDI STRING, CFDI_FACT_DEVUELTA_ID BIGINT, "
+    "USUARIO_CREADOR STRING, FECHA_HORA_CREACION TIMESTAMP_NTZ, USUARIO_ULT_MODIF STRING, FECHA_HORA_ULT_MODIF TIMESTAMP_NTZ, "
+    "USUARIO_CANCELACION STRING, FECHA_HORA_CANCELACION TIMESTAMP_NTZ",
     load=UPSERT,
     key="DOCTO_VE_ID",
     partition_by="FECHA",
@@ -140,9 +128,10 @@ SALES_DOCS = _spec(
 
 SALES = _spec(
     "fact_ventas_articulo",
-    "DOCTO_VE_ID L!, TIPO_DOCTO S, FOLIO S, FECHA D!, ESTATUS S, CLIENTE_ID L, VENDEDOR_ID L, SUCURSAL_ID L,"
-    "ALMACEN_ID L!, ARTICULO_ID L!, SIGNO N, UNIDADES N, IMPORTE_NETO N, COSTO N, UTILIDAD N, IMPUESTOS N,"
-    "IMPORTE_TOTAL N, MONEDA_ID L, TIPO_CAMBIO N, FECHA_HORA_ULT_MODIF Z",
+    "DOCTO_VE_ID BIGINT NOT NULL, TIPO_DOCTO STRING, FOLIO STRING, FECHA DATE NOT NULL, ESTATUS STRING, CLIENTE_ID BIGINT, "
+    "VENDEDOR_ID BIGINT, SUCURSAL_ID BIGINT, ALMACEN_ID BIGINT NOT NULL, ARTICULO_ID BIGINT NOT NULL, SIGNO DECIMAL(38,9), "
+    "UNIDADES DECIMAL(38,9), IMPORTE_NETO DECIMAL(38,9), COSTO DECIMAL(38,9), UTILIDAD DECIMAL(38,9), IMPUESTOS DECIMAL(38,9), "
+    "IMPORTE_TOTAL DECIMAL(38,9), MONEDA_ID BIGINT, TIPO_CAMBIO DECIMAL(38,9), FECHA_HORA_ULT_MODIF TIMESTAMP_NTZ",
     load=REPLACE_RANGE,
     partition_by="FECHA",
     cluster_by=("ARTICULO_ID", "ALMACEN_ID"),
@@ -153,10 +142,12 @@ SALES = _spec(
 
 PURCHASES = _spec(
     "fact_compras_partidas",
-    "DOCTO_CM_DET_ID L!, DOCTO_CM_ID L!, TIPO_DOCTO S, FOLIO S, FECHA D!, ESTATUS S, APLICADO S, PROVEEDOR_ID L,"
-    "ALMACEN_ID L, SUCURSAL_ID L, FOLIO_PROV S, MONEDA_ID L, TIPO_CAMBIO N, FECHA_HORA_ULT_MODIF Z,"
-    "ARTICULO_ID L, CLAVE_ARTICULO S, POSICION L, UMED S, CONTENIDO_UMED N, UNIDADES N, UNIDADES_A_REC N,"
-    "UNIDADES_REC_DEV N, PRECIO_UNITARIO N, PRECIO_TOTAL_NETO N, PCTJE_DSCTO N, DSCTO_ART N, DSCTO_EXTRA N",
+    "DOCTO_CM_DET_ID BIGINT NOT NULL, DOCTO_CM_ID BIGINT NOT NULL, TIPO_DOCTO STRING, FOLIO STRING, FECHA DATE NOT NULL, "
+    "ESTATUS STRING, APLICADO STRING, PROVEEDOR_ID BIGINT, ALMACEN_ID BIGINT, SUCURSAL_ID BIGINT, FOLIO_PROV STRING, "
+    "MONEDA_ID BIGINT, TIPO_CAMBIO DECIMAL(38,9), FECHA_HORA_ULT_MODIF TIMESTAMP_NTZ, ARTICULO_ID BIGINT, "
+    "CLAVE_ARTICULO STRING, POSICION BIGINT, UMED STRING, CONTENIDO_UMED DECIMAL(38,9), UNIDADES DECIMAL(38,9), "
+    "UNIDADES_A_REC DECIMAL(38,9), UNIDADES_REC_DEV DECIMAL(38,9), PRECIO_UNITARIO DECIMAL(38,9), "
+    "PRECIO_TOTAL_NETO DECIMAL(38,9), PCTJE_DSCTO DECIMAL(38,9), DSCTO_ART DECIMAL(38,9), DSCTO_EXTRA DECIMAL(38,9)",
     load=REPLACE_RANGE,
     partition_by="FECHA",
     cluster_by=("PROVEEDOR_ID", "ARTICULO_ID"),
@@ -166,8 +157,9 @@ PURCHASES = _spec(
 
 BALANCES = _spec(
     "fact_saldos_mensuales",
-    "PERIODO D!, ANO L!, MES L!, ULTIMO_DIA L, ARTICULO_ID L!, ALMACEN_ID L!, ENTRADAS_UNIDADES N,"
-    "SALIDAS_UNIDADES N, ENTRADAS_COSTO N, SALIDAS_COSTO N, ES_SALDO_INICIAL B!",
+    "PERIODO DATE NOT NULL, ANO BIGINT NOT NULL, MES BIGINT NOT NULL, ULTIMO_DIA BIGINT, ARTICULO_ID BIGINT NOT NULL, "
+    "ALMACEN_ID BIGINT NOT NULL, ENTRADAS_UNIDADES DECIMAL(38,9), SALIDAS_UNIDADES DECIMAL(38,9), ENTRADAS_COSTO DECIMAL(38,9), "
+    "SALIDAS_COSTO DECIMAL(38,9), ES_SALDO_INICIAL BOOLEAN NOT NULL",
     load=REPLACE_MONTHS,
     partition_by="PERIODO",  # always a first of month: one folder per month, never expires
     cluster_by=("ARTICULO_ID", "ALMACEN_ID"),
@@ -176,7 +168,8 @@ BALANCES = _spec(
 
 STOCK = _spec(
     "inventario_existencias",
-    "_snapshot_date D!, ARTICULO_ID L!, ALMACEN_ID L!, EXISTENCIA N, COSTO N",
+    "_snapshot_date DATE NOT NULL, ARTICULO_ID BIGINT NOT NULL, ALMACEN_ID BIGINT NOT NULL, EXISTENCIA DECIMAL(38,9), "
+    "COSTO DECIMAL(38,9)",
     load=SNAPSHOT,
     partition_by="_snapshot_date",
     cluster_by=("ALMACEN_ID",),
@@ -186,7 +179,8 @@ STOCK = _spec(
 
 SYNC_LOG = _spec(
     "_etl_sync_state",
-    "table_name S!, last_sync_date D!, last_run_at T!, records_synced L!, status S!",
+    "table_name STRING NOT NULL, last_sync_date DATE NOT NULL, last_run_at TIMESTAMP NOT NULL, records_synced BIGINT NOT NULL, "
+    "status STRING NOT NULL",
     meta=False,
     load=APPEND,
 )

@@ -1,206 +1,271 @@
 """Tables as partitioned Parquet folders under one root on any Hadoop file system.
 
-Loads touch only the partitions they concern. New files are written next to the old ones
-and moved in when the job commits (dynamic partition overwrite, or a new version folder
-for unpartitioned tables), so a failed job leaves the previous rows in place and running
-a load again gives the same table. A reader during the swap may see some days new and
-some old; there is no snapshot isolation without a table format.
+A load writes only the partitions it concerns, into a folder of its own, and then replaces them all at once: the table's
+pointer (see ``live``) says which folder holds each partition. A load that fails leaves the table as it was, a reader sees
+the table before or after a load and nothing in between, and of two loads that began from the same state one fails.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from dataclasses import replace
 from datetime import date, timedelta
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..model import SPECS, TableSpec, Tables
-from .loads import one_row_per_key
+from ..sources.typing import fail_when
+from .aggregates import pick_last
+from .live import Files, Live, Pointers
 
+#: Whole-number keys are indexed in ranges of so many, other keys in so many buckets.
+KEYS_PER_RANGE = 1 << 20
+KEY_BUCKETS = 1024
 
-class Store:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
 
-    # --- files ---
+class SchemaChange(RuntimeError):
+    """A column would change its type."""
 
-    def _path(self, *parts: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
 
-    def _fs(self):
-        return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
+def one_row_per_key(staged: DataFrame, key: str, newest_by: str | None = None) -> DataFrame:
+    """L6 guard: duplicate keys fail, or with ``newest_by`` only the latest row of a key stays.
 
-    def _folders(self, name: str) -> list[str]:
-        path = self._path(name) if name else self._path()
-        if not self._fs().exists(path):
-            return []
-        return sorted(s.getPath().getName() for s in self._fs().listStatus(path) if s.isDirectory())
+    Only keys are shuffled to look for duplicates, combined first, so a key repeated
+    millions of times is found without bringing its rows together.
+    """
+    if newest_by is not None:
+        others = [c for c in staged.columns if c != key]
+        return pick_last(staged, [key], [newest_by], others).select(*staged.columns)
+    repeated = staged.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1)
+    return fail_when(staged, repeated.agg(F.count(F.lit(1)) > 0).scalar(), f"staged rows repeat a {key}")
 
-    def _drop(self, *parts: str) -> None:
-        self._fs().delete(self._path(*parts), True)
 
-    def partitions(self, spec: TableSpec) -> dict[str, str]:
-        """Partition value -> folder name."""
-        prefix = f"{spec.partition_by}="
-        return {f[len(prefix):]: f for f in self._folders(spec.name) if f.startswith(prefix)}
+def reconciled(had: T.StructType, wants: T.StructType, table: str) -> T.StructType:
+    """The columns a table has had, and those it lacks, nullable, whatever the case of their names.
+
+    A column whose type differs is refused.
+    """
+    known = {f.name.upper(): f for f in had}
+    for f in wants:
+        old = known.get(f.name.upper())
+        if old is not None and old.dataType != f.dataType:
+            raise SchemaChange(f"{table}: {old.name} is {old.dataType.simpleString()} and cannot become {f.dataType.simpleString()}")
+    new = [T.StructField(f.name, f.dataType, True) for f in wants if f.name.upper() not in known]
+    return T.StructType([*had.fields, *new])
 
-    def _current_version(self, name: str) -> str | None:
-        done = [f for f in self._folders(name) if f.startswith("v") and self._fs().exists(self._path(name, f, "_SUCCESS"))]
-        return done[-1] if done else None
+
+class Store:
+    def __init__(self, spark: SparkSession, root: str, keys_per_range: int = KEYS_PER_RANGE):
+        self.spark, self.files, self.keys_per_range = spark, Files(spark, root), keys_per_range
+        self.root = self.files.root
+
+    def live(self, spec: TableSpec) -> Live:
+        return Pointers(self.files, spec.name).live()
+
+    def partitions(self, spec: TableSpec) -> dict[str, str]:
+        """Partition value -> load that wrote it."""
+        return dict(self.live(spec).folders)
 
     # --- reading ---
 
     def read(self, spec: TableSpec) -> DataFrame:
         """The table in its declared columns; files older than a column read it as NULL."""
-        location = self.root + "/" + spec.name
-        if not spec.partition_by and spec.load != "append":
-            version = self._current_version(spec.name)
-            if version is None:
+        if spec.load == "append":
+            if not any(n.startswith("part-") for n in self.files.names(spec.name)):
                 return self._empty(spec)
-            location += "/" + version
-        elif not (self.partitions(spec) if spec.partition_by else self._fs().exists(self._path(spec.name))):
-            return self._empty(spec)
-        reader = self.spark.read
-        if spec.schema is not None:
-            reader = reader.schema(spec.schema)
-        df = reader.parquet(location)
-        return df if spec.schema is None else df.select(*spec.schema.names)
-
-    def _empty(self, spec: TableSpec) -> DataFrame:
-        return self.spark.createDataFrame([], spec.schema or T.StructType([]))
+            return self.spark.read.schema(spec.schema).parquet(f"{self.root}/{spec.name}")
+        live = self.live(spec)
+        return self._read(spec, live, list(live.folders))
+
+    def _read(self, spec: TableSpec, live: Live, values: list[str]) -> DataFrame:
+        folders = [(live.folders[v], v) for v in values if v in live.folders]
+        if not folders:
+            return self._empty(spec, live)
+        schema = spec.schema or T.StructType.fromJson(json.loads(live.columns))
+        base, reader = f"{self.root}/{spec.name}", self.spark.read.schema(schema)
+        if not spec.partition_by:
+            return reader.parquet(f"{base}/_load={folders[0][0]}")
+        paths = [f"{base}/_load={load}/{spec.partition_by}={value}" for load, value in folders]
+        return reader.option("basePath", base).parquet(*paths).select(*schema.names)
+
+    def _empty(self, spec: TableSpec, live: Live = Live()) -> DataFrame:
+        had = T.StructType.fromJson(json.loads(live.columns)) if live.columns else T.StructType([])
+        return self.spark.createDataFrame([], spec.schema or had)
+
+    def columns(self, spec: TableSpec) -> T.StructType | None:
+        """Every column the table has had; None before its first load."""
+        live = self.live(spec)
+        return T.StructType.fromJson(json.loads(live.columns)) if live.columns else None
 
     def tables(self) -> Tables:
         return Tables(lambda name: self.read(SPECS[name]))
 
     # --- writing ---
 
-    def _write(self, df: DataFrame, spec: TableSpec, location: str, mode: str) -> int:
-        """Write and count in the same pass.
+    def _checked(self, spec: TableSpec, live: Live, wants: T.StructType) -> Live:
+        """The state with the columns it will have; a changed type is refused before anything is written.
+
+        Inferred tables are replaced whole, in types that their reader has reconciled.
+        """
+        had = T.StructType.fromJson(json.loads(live.columns)) if live.columns and spec.schema is not None else T.StructType([])
+        return replace(live, columns=reconciled(had, wants, spec.name).json())
+
+    def _write(self, df: DataFrame, spec: TableSpec, load: str) -> dict[str, int]:
+        """Write a load's folder; rows by partition value, counted from the files it has written.
 
-        A lost executor may have its rows counted twice, so the count is for the log; zero
-        is exact.
+        Spark takes the counts from the ends of the files, so they are exact whatever was retried, and rows are not read.
         """
-        seen = Observation()
-        df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         layout = [c for c in (spec.partition_by, *spec.cluster_by) if c]
+        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
         if spec.partition_by:
             # Rebalancing gathers a day's rows but cuts a hot day into several tasks and files.
             df = df.hint("rebalance", spec.partition_by)
         if layout:
             df = df.sortWithinPartitions(*layout)
-        writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        path = f"{self.root}/{spec.name}/_load={load}"
+        # Tasks move their own files into place: nobody reads the folder before it is committed by name.
+        writer = df.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
         if spec.partition_by:
             writer = writer.partitionBy(spec.partition_by)
-        writer.parquet(location)
+        writer.parquet(path)
+        written = self.spark.read.schema(schema).parquet(path)
+        if not spec.partition_by:
+            n = written.count()
+            return {"": n} if n else {}
+        counts = written.groupBy(spec.partition_by).agg(F.count(F.lit(1)).alias("n")).collect()
+        return {str(r[0]): r["n"] for r in counts}
+
+    def _replace(self, spec: TableSpec, rows: DataFrame, concerned: list[str], if_none: bool = True) -> dict[str, int]:
+        """The concerned partitions give way to the rows, at once; ``if_none``: also when there are no rows."""
+        pointers = Pointers(self.files, spec.name)
+        before = pointers.live()
+        return self._committed(spec, pointers, before, rows, lambda written: concerned if written or if_none else None)
+
+    def _committed(self, spec: TableSpec, pointers: Pointers, before: Live, rows: DataFrame, gone, index=None) -> dict[str, int]:
+        after = self._checked(spec, before, rows.schema)
+        load = pointers.new_load(before)
         try:
-            return seen.get["rows"]
-        except Py4JJavaError:
-            # The optimizer drops the count of rows that it knows to be none; of others the count is an error.
-            if df.isEmpty():
-                return 0
+            written = self._write(rows, spec, load)
+            concerned = gone(written)
+            if concerned is None:
+                self.files.drop(spec.name, f"_load={load}")
+                return {}
+            after = after.replacing([*concerned, *written], load, written)
+            if index is not None:
+                after = replace(after, index=before.index | index(load))
+            pointers.commit(before, after)
+            return written
+        except Exception:
+            self.files.drop(spec.name, f"_load={load}")
+            self.files.drop(spec.name, f"_index={load}")
             raise
 
     def claim(self, empresa: str) -> None:
         """A store holds one company: its loads replace whole days and catalogs. A second company is refused."""
-        taken = {f.removeprefix("_company=") for f in self._folders("") if f.startswith("_company=")}
+        taken = {f.removeprefix("_company=") for f in self.files.names() if f.startswith("_company=")}
         if taken - {empresa}:
             raise ValueError(f"{self.root} holds company {', '.join(sorted(taken))}, not {empresa}")
-        self._fs().mkdirs(self._path(f"_company={empresa}"))
+        self.files.make(f"_company={empresa}")
 
     def create(self, spec: TableSpec) -> None:
-        """The folder of a table with a fixed schema; columns and layout come from its spec."""
-        if spec.schema is not None:
-            self._fs().mkdirs(self._path(spec.name))
-
-    def full_refresh(self, spec: TableSpec, rows: DataFrame) -> int:
-        """L1: a new version; readers switch to it once it is complete. No rows, no change."""
-        before = self._folders(spec.name)
-        live = self._current_version(spec.name)
-        number = int(live[1:]) + 1 if live else 1
-        version = f"v{number:012d}"
-        if version in before:  # left over from a run that died
-            self._drop(spec.name, version)
-        n = self._write(rows, spec, f"{self.root}/{spec.name}/{version}", "overwrite")
-        if n == 0:
-            self._drop(spec.name, version)
-            return 0
-        for old in before:  # keep the version before this one for readers still on it
-            if old not in (live, version):
-                self._drop(spec.name, old)
-        return n
-
-    def append(self, spec: TableSpec, rows: DataFrame) -> int:
+        """A table with a fixed schema, without rows; a table that is there gets the columns it lacks."""
+        if spec.schema is None or spec.load == "append":
+            return
+        pointers = Pointers(self.files, spec.name)
+        before = pointers.live()
+        after = self._checked(spec, before, spec.schema)
+        if after != before:
+            pointers.commit(before, after)
+
+    def full_refresh(self, spec: TableSpec, rows: DataFrame) -> dict[str, int]:
+        """L1: all rows anew. No rows, no change."""
+        return self._replace(spec, rows, [""], if_none=False)
+
+    def append(self, spec: TableSpec, rows: DataFrame) -> None:
         """L2, L10."""
-        return self._write(rows, spec, f"{self.root}/{spec.name}", "append")
+        rows.write.mode("append").parquet(f"{self.root}/{spec.name}")
 
-    def _replace(self, spec: TableSpec, rows: DataFrame, concerned: list[str]) -> int:
-        """Overwrite the partitions that get rows, then drop the other concerned ones.
-
-        The new rows are in place before old partitions go, so a crash in between leaves a
-        table that the next run of the same load puts right.
-        """
-        before = self.partitions(spec)
-        stamps = {f: self._modified(spec, f) for v, f in before.items() if v in concerned}
-        n = self._write(rows, spec, f"{self.root}/{spec.name}", "overwrite")
-        after = self.partitions(spec)
-        for value in concerned:
-            folder = after.get(value)
-            if folder and folder in stamps and stamps[folder] == self._modified(spec, folder):
-                self._drop(spec.name, folder)  # untouched by the write: no staged rows for it
-        return n
-
-    def _modified(self, spec: TableSpec, folder: str) -> frozenset[str]:
-        # Part files carry the id of the job that wrote them, so the names tell old from new.
-        return frozenset(s.getPath().getName() for s in self._fs().listStatus(self._path(spec.name, folder)))
-
-    def replace_day(self, spec: TableSpec, rows: DataFrame, taken_on: date) -> int:
+    def replace_day(self, spec: TableSpec, rows: DataFrame, taken_on: date) -> dict[str, int]:
         """L3: rows are all of one day; without rows the day stays as it was."""
         day = rows.filter(F.col(spec.partition_by) == F.lit(taken_on))
-        return self._write(day, spec, f"{self.root}/{spec.name}", "overwrite")
+        return self._replace(spec, day, [taken_on.isoformat()], if_none=False)
 
-    def replace_range(self, spec: TableSpec, rows: DataFrame, start: date, end: date) -> int:
+    def replace_range(self, spec: TableSpec, rows: DataFrame, start: date, end: date) -> dict[str, int]:
         """L4: every day of [start, end], also those left without rows."""
         inside = rows.filter(F.col(spec.partition_by).between(F.lit(start), F.lit(end)))
-        days = [(start + timedelta(days=i)).isoformat() for i in range((end - start).days + 1)]
-        return self._replace(spec, inside, days)
+        return self._replace(spec, inside, [(start + timedelta(days=i)).isoformat() for i in range((end - start).days + 1)])
 
-    def replace_months(self, spec: TableSpec, rows: DataFrame, months: list[date]) -> int:
+    def replace_months(self, spec: TableSpec, rows: DataFrame, months: list[date]) -> dict[str, int]:
         """L5."""
-        inside = rows.filter(F.col(spec.partition_by).isin(months))
-        return self._replace(spec, inside, [m.isoformat() for m in months])
+        return self._replace(spec, rows.filter(F.col(spec.partition_by).isin(months)), [m.isoformat() for m in months])
+
+    # --- L6 ---
 
-    def upsert(self, spec: TableSpec, rows: DataFrame, newest_by: str | None = None) -> int:
-        """Rewrite only the days that hold a staged key now or will hold one.
+    def upsert(self, spec: TableSpec, rows: DataFrame, newest_by: str | None = None) -> dict[str, int]:
+        """Rewrite only the days that hold a staged key now or will hold one; staged rows by day.
 
-        The staged rows are written down first: they are needed several times, and their
-        source is text. Finding the days reads two columns of the target.
+        The staged rows are written down first: they are needed several times, and their source is text. Which days hold a
+        staged key is told by the table's index, of which only the ranges that staged keys fall into are read and written
+        again; the index is committed with the rows.
         """
+        self._checked(spec, self.live(spec), rows.schema)
         stage = f"_stage/{spec.name}-{uuid.uuid4().hex}"
         rows.write.parquet(f"{self.root}/{stage}")
         try:
             landed = self.spark.read.schema(spec.schema).parquet(f"{self.root}/{stage}")
-            staged = one_row_per_key(landed, spec.key, newest_by)
-            n = staged.count()
-            if n == 0:
-                return 0
-            target, part = self.read(spec), spec.partition_by
-            holding = target.select(spec.key, part).join(staged.select(spec.key), spec.key, "left_semi").select(part)
-            days = [r[0] for r in holding.union(staged.select(part)).distinct().collect()]  # at most one per day kept
-            kept = target.filter(F.col(part).isin(days)).join(staged.select(spec.key), spec.key, "left_anti")
-            self._replace(spec, kept.unionByName(staged), [d.isoformat() for d in days])
-            return n
+            staged, part = one_row_per_key(landed, spec.key, newest_by), spec.partition_by
+            counts = {str(r[0]): r["n"] for r in staged.groupBy(part).agg(F.count(F.lit(1)).alias("n")).collect()}
+            if not counts:
+                return {}
+            pointers = Pointers(self.files, spec.name)
+            before = pointers.live()
+            where = staged.select(spec.key, part, self._range(spec).alias("_range"))
+            touched = [str(r[0]) for r in where.select("_range").distinct().collect()]
+            index = self._indexed(spec, before, touched)
+            holding = index.join(staged.select(spec.key), spec.key, "left_semi").select(part)
+            days = sorted({str(r[0]) for r in holding.distinct().collect()} | set(counts))  # at most one per day kept
+            kept = self._read(spec, before, days).join(staged.select(spec.key), spec.key, "left_anti")
+
+            def write_index(load: str) -> dict[str, str]:
+                """The touched ranges anew; those that hold no key any more are gone with it."""
+                others = index.join(staged.select(spec.key), spec.key, "left_anti")
+                path = f"{self.root}/{spec.name}/_index={load}"
+                others.unionByName(where).repartition("_range").write.partitionBy("_range").parquet(path)
+                return dict.fromkeys(touched, load)
+
+            self._committed(spec, pointers, before, kept.unionByName(staged), lambda written: days, write_index)
+            return counts
         finally:
-            self._drop(stage)
+            self.files.drop(stage)
+
+    def _range(self, spec: TableSpec) -> Column:
+        """The part of the index that a key falls into: ranges of whole numbers, which sources give out in order of time."""
+        key = F.col(spec.key)
+        if isinstance(spec.schema[spec.key].dataType, (T.IntegerType, T.LongType)):
+            return F.floor(key / F.lit(self.keys_per_range)).cast("long")
+        return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("long")
+
+    def _indexed(self, spec: TableSpec, live: Live, ranges: list[str]) -> DataFrame:
+        """(key, partition value, _range) of all keys in some ranges."""
+        fields = [T.StructField(f.name, f.dataType) for f in (spec.schema[spec.key], spec.schema[spec.partition_by])]
+        schema = T.StructType([*fields, T.StructField("_range", T.LongType())])
+        base = f"{self.root}/{spec.name}"
+        paths = [f"{base}/_index={live.index[r]}/_range={r}" for r in ranges if r in live.index]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths).select(*schema.names)
 
     def expire(self, spec: TableSpec, as_of: date) -> list[str]:
         """Drop whole partitions past retention; returns their values."""
         if not spec.partition_by or spec.retention_days is None:
             return []
         oldest = (as_of - timedelta(days=spec.retention_days)).isoformat()
-        gone = [v for v in self.partitions(spec) if v < oldest]
-        for value in gone:
-            self._drop(spec.name, f"{spec.partition_by}={value}")
+        pointers = Pointers(self.files, spec.name)
+        before = pointers.live()
+        gone = sorted(v for v in before.folders if v < oldest)
+        if gone:
+            pointers.commit(before, before.replacing(gone, "", {}))
         return gone
