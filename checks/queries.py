@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tianguis.model import Tables
 from tianguis.plans import catalog, dashboards, inventory, market, monitoring, purchases, report, sales, suppliers
 
+from .scratch import fresh_folder
 from .tables import AS_OF, AS_OF_TS, model_tables
 
 MONTH = date(2000, 5, 1)
@@ -60,9 +61,19 @@ register("P3_inventario_actual_todos", lambda t: suppliers.stock_now(t, AS_OF))
 register("P4_inventario_mensual_todos", lambda t: suppliers.stock_by_month(t, AS_OF))
 register("P4_inventario_mensual", lambda t: suppliers.stock_by_month(t, AS_OF, SUPPLIER))
 
-for _cut in report.CUTS:
-    register(f"R1_ventas_{_cut}", lambda t, c=_cut: report.sales_sheet(t, MONTH, c))
+for _cut in report.Cut:
+    register(f"R1_ventas_{_cut.name}", lambda t, c=_cut: report.sales_sheet(t, MONTH, c))
 register("R2_inventario", lambda t: report.stock_sheet(t, AS_OF, MONTH))
+
+
+def _written_summary(t: Tables) -> DataFrame:
+    """The summary of a report that was written, as it is read again."""
+    base = report.write_report(t, AS_OF, MONTH, fresh_folder(t["dim_articulos"].sparkSession), fmt="parquet")
+    read = t["dim_articulos"].sparkSession.read.parquet(f"{base}/resumen")
+    return read.withColumnsRenamed({heading: name for name, heading in report.HEADINGS.items()} | {report.Cut.formato.heading: "CORTE"})
+
+
+register("L11_informe", _written_summary)
 register("R3_resumen", lambda t: report.summary_sheet(report.sales_sheet(t, MONTH), report.stock_sheet(t, AS_OF, MONTH)))
 
 register("D1_indicadores", lambda t: dashboards.sales_scorecard(t, date(2000, 1, 1), date(2000, 12, 31)))

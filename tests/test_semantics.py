@@ -263,7 +263,7 @@ def test_load_status_counts_whole_hours(spark):
     assert monitoring.last_good_date(log, "t").first()[0] == AS_OF and monitoring.last_good_date(log, "x").first()[0] is None
 
 
-REPORT_SALES = [("Cash&Carry", "A001", 10, 100, "16", 116), ("Cash&Carry", "A002", 5, 50, "0", 50), ("Mayoreo tradicional", "A001", -2, -20, "-3.20", "-23.20")]
+REPORT_SALES = [("Muelle", "K-71", 7, 210, "21.5", "231.5"), ("Muelle", "K-90", 4, 36, "0", 36), ("Ruta sur", "K-71", -3, -90, "-9.25", "-99.25")]
 
 
 def sheet(spark, data):
@@ -276,11 +276,11 @@ def test_report_totals(spark):
     stock = spark.createDataFrame([(N(3), N(30)), (None, N(5))], "EXISTENCIA_FIN_MES decimal(38,9), VALOR_COSTO_FIN_MES decimal(38,9)")
     out = report.summary_sheet(sheet(spark, REPORT_SALES + [(None, "x", 1, 1, 1, 1), ("", "y", 1, 1, 1, 1)]), stock).collect()
     found = [(r.SECCION, r.CORTE, r.RENGLONES, r.PIEZAS, r.IMPORTE_CON_IMPUESTOS) for r in out]
-    assert found == [("Ventas", "(sin dato)", 2, 2, 2), ("Ventas", "Cash&Carry", 2, 15, 166), ("Ventas", "Mayoreo tradicional", 1, -2, N("-23.20")),
-                     ("Total", "Total", 5, 15, N("144.80")), ("Inventario", None, 2, None, None)]
+    assert found == [("Ventas", "(sin dato)", 2, 2, 2), ("Ventas", "Muelle", 2, 11, N("267.5")), ("Ventas", "Ruta sur", 1, -3, N("-99.25")),
+                     ("Total", "Total", 5, 10, N("170.25")), ("Inventario", None, 2, None, None)]
     assert (out[-1].EXISTENCIA_FIN_MES, out[-1].VALOR_COSTO_FIN_MES) == (3, 35)
     grand = [r for r in report.summary_sheet(sheet(spark, REPORT_SALES), stock).collect() if r.SECCION == "Total"][0]
-    assert (grand.PIEZAS, grand.IMPORTE_CON_IMPUESTOS) == (13, N("142.80"))
+    assert (grand.PIEZAS, grand.IMPORTE_CON_IMPUESTOS) == (8, N("168.25"))
 
 
 def test_report_of_an_empty_month_still_has_three_tables(spark, tables, tmp_path):
@@ -289,8 +289,8 @@ def test_report_of_an_empty_month_still_has_three_tables(spark, tables, tmp_path
     for name, count in (("ventas", 0), ("inventario", 0), ("resumen", 2)):
         assert spark.read.option("header", "true").csv(f"{base}/{name}").count() == count
     assert report.report_name("", date(2026, 8, 1)) == "ISCAM_EMPRESA_2026-08"
-    with pytest.raises(ValueError):
-        report.sales_sheet(tables(), AS_OF, "marca")
+    with pytest.raises(KeyError):
+        report.Cut["marca"]
 
 
 def test_report_filters_company_month_and_excluded_channels(spark, tables, tmp_path):
@@ -299,7 +299,7 @@ def test_report_filters_company_month_and_excluded_channels(spark, tables, tmp_p
         dim_clientes=[("E1", 1, "c", "A", 1, 1), ("E1", 3, "d", "A", 1, 3)], dim_tipos_clientes=CHANNEL_TYPES, dim_formato_venta=CHANNEL_RULES,
         fact_saldos_mensuales=[balance(date(2026, 8, 1), units_in=4), balance(date(2026, 8, 1), item=2)],
     )
-    assert rows(report.sales_sheet(t, date(2026, 8, 15), "formato", "E1"), "CORTE", "PIEZAS") == [("Tienda", 1)]
+    assert rows(report.sales_sheet(t, date(2026, 8, 15), report.Cut.formato, "E1"), "CORTE", "PIEZAS") == [("Tienda", 1)]
     assert len(rows(report.sales_sheet(t, date(2026, 8, 15)))) == 2
     assert rows(report.stock_sheet(t, AS_OF, date(2026, 8, 1)), "EXISTENCIA_FIN_MES") == [(4,)]
     base = report.write_report(t, AS_OF, date(2026, 8, 1), str(tmp_path), empresa="E1")
@@ -307,5 +307,19 @@ def test_report_filters_company_month_and_excluded_channels(spark, tables, tmp_p
     assert head.columns[:3] == ["Mes", "Formato", "Clave"] and head.first()[0] == "2026-08"
 
 
+def test_the_summary_adds_up_the_sheets_that_were_written(spark, tables, tmp_path, monkeypatch):
+    t = tables(
+        fact_ventas_articulo=[sale(fecha=date(2026, 8, 31)), sale(fecha=date(2026, 8, 2), item=2)],
+        dim_clientes=[("E1", 1, "c", "A", 1, 1)], dim_tipos_clientes=CHANNEL_TYPES, dim_formato_venta=CHANNEL_RULES,
+        fact_saldos_mensuales=[balance(date(2026, 8, 1), units_in=4)],
+    )
+    made, write = [], report._written
+    monkeypatch.setattr(report, "_written", lambda df, *rest: made.append(df) or write(df, *rest))
+    base = report.write_report(t, AS_OF, date(2026, 8, 1), str(tmp_path), report.Cut.zona)
+    assert all(f"{base}/" in f for f in made[2].inputFiles()) and len(made) == 3
+    expected = report.summary_sheet(report.sales_sheet(t, date(2026, 8, 1), report.Cut.zona), report.stock_sheet(t, AS_OF, date(2026, 8, 1)))
+    assert rows(made[2]) == rows(expected)
+
+
 def test_every_plan_input_is_a_declared_table():
     assert set(SHORT) <= set(SPECS)
