@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tianguis.llm.periodic_runs import Numbers
-from tianguis.llm.staging import release, staged
+from tianguis.llm.staging import Scratch
 from tianguis.llm.suffix_dedup import Powers, _merged, _mixed, _pairs, _sliding_min
 
 WINDOW = 20
@@ -185,7 +185,7 @@ class Shard:
             yield inside, later
 
 
-def _settled(lines: list[dict], window: int) -> pa.RecordBatch:
+def _settled(lines: list[dict], window: int, doc_id: pa.DataType) -> pa.RecordBatch:
     """Of lines with anchor, content, times, doc_id, start and words: the ranges of windows that recur, and that come later."""
     shard = Shard([(r["times"], ((r["doc_id"] is not None, r["doc_id"]), r["start"]), r["words"].split()) for r in lines], window)
     keep, recur, later = [], [], []
@@ -194,30 +194,41 @@ def _settled(lines: list[dict], window: int) -> pa.RecordBatch:
             keep.append(row)
             recur.append(_flags(inside))
             later.append(_flags(after))
-    columns = [pa.array([r[c] for r in keep], pa.int64()) for c in ("anchor", "content")]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(recur, _RANGE_TYPE), pa.array(later, _RANGE_TYPE)], ["anchor", "content", "recur", "later"])
+    columns = [pa.array([r[c] for r in keep], kind) for c, kind in (("anchor", pa.int64()), ("content", pa.int64()), ("doc_id", doc_id), ("start", pa.int64()))]
+    return pa.RecordBatch.from_arrays(
+        [*columns, pa.array(recur, _RANGE_TYPE), pa.array(later, _RANGE_TYPE)], ["anchor", "content", "doc_id", "start", "recur", "later"]
+    )
 
 
 def _settle(lines: DataFrame, window: int, shard_words: int) -> DataFrame:
-    """anchor, content, recur, later of lines that recur; all lines of an anchor come to one shard, one after the other."""
+    """Which windows recur and come later, of the lines in which some do; an anchor's lines come to one shard, one after the other."""
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (r for batch in batches for r in batch.cast(pa.schema([f.with_type(pa.binary()) if f.name == "words" else f for f in batch.schema])).to_pylist())
+        kinds: list[pa.DataType] = []
+
+        def rows() -> Iterator[dict]:
+            for batch in batches:
+                kinds[:] = [batch.schema.field("doc_id").type]
+                yield from batch.set_column(0, "words", batch.column(0).cast(pa.binary())).to_pylist()
+
         held: list[dict] = []
         size = 0
-        for _, group in groupby(rows, key=lambda r: r["anchor"]):
+        for _, group in groupby(rows(), key=lambda r: r["anchor"]):
             some = list(group)
             more = sum(r["size"] for r in some)
             if held and size + more > shard_words:
-                yield _settled(held, window)
+                yield _settled(held, window, *kinds)
                 held, size = [], 0
             held += some
             size += more
         if held:
-            yield _settled(held, window)
+            yield _settled(held, window, *kinds)
 
-    dealt = lines.repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(settle, f"anchor long, content long, recur {RANGES}, later {RANGES}")
+    dealt = lines.select("words", "size", "anchor", "content", "times", "doc_id", "start").repartition("anchor").sortWithinPartitions("anchor")
+    kind = T.StructType(
+        [*T.StructType.fromDDL("anchor long, content long").fields, lines.schema["doc_id"], *T.StructType.fromDDL(f"start long, recur {RANGES}, later {RANGES}").fields]
+    )
+    return dealt.mapInArrow(settle, kind)
 
 
 def _same_row(a: Column, b: Column) -> Column:
@@ -274,19 +285,19 @@ def repeated_passages(
 
     kind = T.StructType([texts.schema["doc_id"], *T.StructType.fromDDL("place long, start long, windows int, anchor long, content long").fields])
     found = texts.mapInArrow(stretches, kind)
+    scratch = Scratch(spark, "passages")
     # The anchors that recur are written first: a join with a table read again can be split where one key is frequent.
-    again = staged(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "anchors")
-    kept = staged(found.join(again, "anchor"), "stretches")
-    release(spark)
-    contents = staged(
+    again = scratch.staged(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "anchors")
+    kept = scratch.staged(found.join(again, "anchor"), "stretches")
+    scratch.drop("anchors")
+    contents = scratch.staged(
         kept.groupBy("anchor", "content")
         .agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "start", "place", "windows")).alias("at"))
         .select("anchor", "content", "times", "at.*"),
         "contents",
     )
-    release(spark)
-    size = F.col("windows") + F.lit(window - 1)
-    hot = staged(contents.groupBy("anchor").agg(F.sum(size).alias("words")).filter(F.col("words") > max_anchor_words).select("anchor"), "hot")
+    words = F.sum(F.col("windows") + F.lit(window - 1))
+    hot = contents.groupBy("anchor").agg(words.alias("words")).filter(F.col("words") > max_anchor_words).select("anchor", F.lit(True).alias("hot"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -297,35 +308,39 @@ def repeated_passages(
                 columns = [pa.array([r[c] for r in rows], pa.int64()) for c in ("anchor", "content", "times")]
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.array([r["hot"] for r in rows], pa.bool_()),
                         *columns,
                         pa.repeat(batch.column(2)[at], len(rows)),
                         pa.array([r["start"] for r in rows], pa.int64()),
                         pa.array([r["windows"] + window - 1 for r in rows], pa.int64()),
                         pa.array(lines, pa.binary()).cast(pa.string()),
                     ],
-                    ["anchor", "content", "times", "doc_id", "start", "size", "words"],
+                    ["hot", "anchor", "content", "times", "doc_id", "start", "size", "words"],
                 )
 
     line = T.StructType(
-        [*T.StructType.fromDDL("anchor long, content long, times long").fields, texts.schema["doc_id"], *T.StructType.fromDDL("start long, size long, words string").fields]
+        [
+            *T.StructType.fromDDL("hot boolean, anchor long, content long, times long").fields,
+            texts.schema["doc_id"],
+            *T.StructType.fromDDL("start long, size long, words string").fields,
+        ]
     )
 
-    def lines_of(some: DataFrame) -> DataFrame:
-        """The words of contents, cut out of the text in which each occurs first."""
-        stretch = F.struct("anchor", "content", "times", "start", F.col("windows").cast("long").alias("windows"))
-        by_text = some.groupBy("place").agg(F.first("doc_id").alias("own"), F.collect_list(stretch).alias("runs"))
-        joined = texts.join(by_text, "place").filter(_same_row(F.col("doc_id"), F.col("own")))
-        return joined.select("text", "runs", "doc_id").mapInArrow(cut, line)
-
-    results = _settle(lines_of(contents.join(hot, "anchor", "left_anti")), window, shard_words)
-    if not hot.isEmpty():
-        results = results.unionByName(_one_by_one(lines_of(contents.join(hot, "anchor", "left_semi")), window, shard_words))
-    results = staged(results.join(contents.select("anchor", "content", F.col("doc_id").alias("own"), F.col("start").alias("at")), ["anchor", "content"]), "located")
-    release(spark)
-
-    first = F.col("doc_id").eqNullSafe(F.col("own")) & (F.col("start") == F.col("at"))
+    # The words of contents are cut out of the text in which each occurs first.
+    stretch = F.struct(F.coalesce("hot", F.lit(False)).alias("hot"), "anchor", "content", "times", "start", F.col("windows").cast("long").alias("windows"))
+    by_text = contents.join(hot, "anchor", "left").groupBy("place").agg(F.first("doc_id").alias("own"), F.collect_list(stretch).alias("runs"))
+    joined = texts.join(by_text, "place").filter(_same_row(F.col("doc_id"), F.col("own")))
+    lines = scratch.staged(joined.select("text", "runs", "doc_id").mapInArrow(cut, line), "lines")
+    scratch.drop("contents")
+    results = _settle(lines.filter("not hot"), window, shard_words)
+    if not lines.filter("hot").isEmpty():
+        results = results.unionByName(_one_by_one(lines.filter("hot"), scratch, window, shard_words))
+    results = scratch.staged(results, "located")
+    scratch.drop("lines", "windows", "recurring")
+
+    first = F.col("doc_id").eqNullSafe(F.col("own")) & (F.col("start") == F.col("own_start"))
     removed = (
-        kept.join(results, ["anchor", "content"])
+        kept.join(results.withColumnRenamed("doc_id", "own").withColumnRenamed("start", "own_start"), ["anchor", "content"])
         .select("place", "doc_id", "start", F.explode(F.when(first, F.col("later")).otherwise(F.col("recur"))).alias("r"))
         .groupBy("place")
         .agg(
@@ -338,7 +353,7 @@ def repeated_passages(
     return joined.select("doc_id", "text", merge("found").alias("spans"))
 
 
-def _one_by_one(lines: DataFrame, window: int, shard_words: int) -> DataFrame:
+def _one_by_one(lines: DataFrame, scratch: Scratch, window: int, shard_words: int) -> DataFrame:
     """Like `_settle`, of lines cut into windows that are summed up and dealt out by all their words.
 
     A window is one line however many contents hold it, so no shard has more than its even part.
@@ -346,38 +361,40 @@ def _one_by_one(lines: DataFrame, window: int, shard_words: int) -> DataFrame:
 
     def windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(len(batch)):
-                words = batch.column(1)[at].cast(pa.binary()).as_py().split()
+            for at, line in enumerate(batch.column(0).cast(pa.binary()).to_pylist()):
+                words = line.split()
                 parts = [b" ".join(words[k : k + window]) for k in range(len(words) - window + 1)]
-                index = pa.array([at] * len(parts))
-                columns = [batch.column(c).take(index) for c in (0, 2, 3, 4, 5)]
+                index = pa.array([at] * len(parts), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(range(len(parts)), pa.int64()), pa.array(parts, pa.binary()).cast(pa.string())],
-                    ["anchor", "content", "times", "doc_id", "start", "offset", "words"],
+                    [
+                        *[batch.column(c).take(index) for c in range(1, batch.num_columns)],
+                        pa.array(range(len(parts)), pa.int64()),
+                        pa.array(parts, pa.binary()).cast(pa.string()),
+                    ],
+                    [*batch.schema.names[1:], "offset", "words"],
                 )
 
-    schema = lines.schema
-    kind = T.StructType(
-        [*(schema[c] for c in ("anchor", "content", "times", "doc_id", "start")), *T.StructType.fromDDL("offset long, words string").fields]
-    )
-    single = lines.select("anchor", "words", "content", "times", "doc_id", "start").mapInArrow(windows_of, kind)
+    given = lines.select("words", "anchor", "content", "times", "doc_id", "start")
+    cut = given.mapInArrow(windows_of, T.StructType([*given.schema.fields[1:], *T.StructType.fromDDL("offset long, words string").fields]))
     hashed = lambda seed: F.xxhash64(F.lit(seed), "words")
-    single = staged(single.withColumns({"w": hashed(1), "v": hashed(2), "start": F.col("start") + F.col("offset")}), "windows")
+    place = F.struct("doc_id", (F.col("start") + F.col("offset")).alias("start"))
+    single = scratch.staged(cut.withColumns({"w": hashed(1), "v": hashed(2), "place": place}), "windows")
     summed = (
         single.groupBy("w", "v", "words")
-        .agg(F.sum("times").alias("times"), F.min(F.struct("doc_id", "start")).alias("at"))
+        .agg(F.sum("times").alias("times"), F.min("place").alias("at"))
         .select(F.col("w").alias("anchor"), F.col("v").alias("content"), "times", "at.*", F.lit(window).cast("long").alias("size"), "words")
     )
-    located = _settle(summed, window, shard_words).select(F.col("anchor").alias("w"), F.col("content").alias("v"))
-    place = summed.select(F.col("anchor").alias("w"), F.col("content").alias("v"), F.struct("doc_id", "start").alias("at"))
-    recurring = staged(place.join(located, ["w", "v"]), "recurring")
+    located = _settle(summed, window, shard_words)
+    recurring = scratch.staged(located.select(F.col("anchor").alias("w"), F.col("content").alias("v"), F.struct("doc_id", "start").alias("at")), "recurring")
     own = F.struct(F.col("offset").alias("a"), (F.col("offset") + 1).alias("b"))
     return (
         single.join(recurring, ["w", "v"])
         .groupBy("anchor", "content")
         .agg(
+            F.first("doc_id").alias("doc_id"),
+            F.first("start").alias("start"),
             F.sort_array(F.collect_list(own)).alias("recur"),
-            F.sort_array(F.collect_list(F.when(F.struct("doc_id", "start") > F.col("at"), own))).alias("later"),
+            F.sort_array(F.collect_list(F.when(F.col("place") > F.col("at"), own))).alias("later"),
         )
     )
 

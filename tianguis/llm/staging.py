@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,9 +23,40 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Paths that have been given out while they were recorded.
+_RECORDED: list[str] = []
+_recording = False
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing has used before."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if _recording:
+        _RECORDED.append(path)
+    return path
+
+
+@contextmanager
+def dropped_before(df: DataFrame) -> Iterator[None]:
+    """Record the paths given out inside; those recorded earlier are dropped first, unless `df` still reads one of them.
+
+    For stages whose results are written before the next begins: what one has staged goes when the next starts.
+    """
+    global _recording
+    read = df.inputFiles()
+    if not any(path.partition("://")[2] in file for path in _RECORDED for file in read):
+        while _RECORDED:
+            remove(df.sparkSession, _RECORDED.pop())
+    _recording = True
+    try:
+        yield
+    finally:
+        _recording = False
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -36,10 +69,23 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let the cleaner drop the shuffle files of jobs that are over, as soon as what they gave has been staged.
+class Scratch:
+    """Staged tables of one run, each dropped when what was made of it has been staged."""
 
-    Spark drops them when the driver happens to collect its garbage, which a driver with little to do does late.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder = spark, new_path(spark, name)
+
+    def staged(self, df: DataFrame, name: str) -> DataFrame:
+        """Like `staged`; shuffle files of the job that wrote the table go with it.
+
+        Spark drops those when the driver happens to collect its garbage, which a driver with little to do does late.
+        """
+        path = f"{self.folder}/{name}"
+        df.write.option("compression", "zstd").parquet(path)
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            remove(self.spark, f"{self.folder}/{name}")
