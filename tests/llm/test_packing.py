@@ -1,9 +1,11 @@
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from tianguis.llm.packing import pack, pack_documents, plan_bins, sequence_pieces, sequences, token_pieces
@@ -63,7 +65,7 @@ def test_rows_are_all_placed_once(spark):
     rng = random.Random(2)
     lengths = [rng.choice([1, 2, 3, 5, 8, 13, 16, 16, 16]) for _ in range(500)] + [7] * 400
     df = spark.createDataFrame([(i // 2 if i % 7 else None, n, "x") for i, n in enumerate(lengths)], "doc_id long, length long, offset0 string")
-    out = pack(df, 16, salts=5).collect()
+    out = pack(df, 16).collect()
     assert Counter((r.doc_id, r.length) for r in out) == Counter((r.doc_id, r.length) for r in df.collect())
     assert check(out, 16) == len(one_by_one(lengths, 16))
 
@@ -86,12 +88,35 @@ def expected_pieces(texts, capacity):
 def test_pieces_and_sequences(documents):
     rows = [(1, None), (2, ""), (3, "word " * 300), (3, "word " * 300), (None, "ÉÉ<|endoftext|> ß"), (4, "x" * 3000)]
     df = documents(rows)
-    packed = pack(token_pieces(df, PATH, capacity=64, with_ids=True), 64)
+    packed = pack(token_pieces(df, PATH, capacity=64), 64)
     got = packed.collect()
-    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == expected_pieces(rows, 64)
+    crc = lambda ids: zlib.crc32(np.frombuffer(ids, "<u2").astype("<u4").tobytes())
+    assert Counter((r.doc_id, r.piece, r.start, r.length, crc(r.ids)) for r in got) == expected_pieces(rows, 64)
     check(got, 64)
-    for r in sequences(packed).collect():
+    for r in sequences(packed, "<u2").collect():
         assert len(r.ids) == 4 * r.length <= 256
+    # Beyond the bound of the broadcast, rows meet the counts by a shuffle and lie as well.
+    far = pack(token_pieces(df, PATH, capacity=64), 64, max_broadcast=0)
+    assert "BroadcastHashJoin" not in far._jdf.queryExecution().optimizedPlan().toString()
+    got = far.collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, crc(r.ids)) for r in got) == expected_pieces(rows, 64)
+    check(got, 64)
+
+
+def test_ids_move_once(spark, documents):
+    """One shuffle has rows with ids: the one that brings the pieces of a sequence together."""
+    packed = pack_documents(documents([(i, f"w{i} " * 40) for i in range(30)]), PATH, capacity=64)
+    packed.collect()
+    plan = packed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    keys = re.findall(r"Exchange hashpartitioning\((\w+?)#", plan)
+    assert [k for k in keys if k not in ("length", "_task")] == ["sequence_id"]
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_names_that_are_made_here_are_refused(spark):
+    for name in ("sequence_id", "offset", "_before", "_task"):
+        with pytest.raises(ValueError, match=name):
+            pack(spark.createDataFrame([(3, 1)], f"length long, {name} long"), 8)
 
 
 def expected_ids(texts):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator, Mapping
 from functools import lru_cache
@@ -11,12 +10,13 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tianguis.llm.staging import staged
+from tianguis.llm.staging import Scratch
 from tianguis.llm.tokens import TextEncoder, byte_characters, load
 
 CAPACITY = 2048
@@ -24,26 +24,33 @@ SEPARATOR = 0
 #: Texts are tokenised so many at a time, and pieces leave a task in batches of about so many bytes of ids.
 TEXTS_AT_ONCE = 256
 BATCH_BYTES = 8 << 20
-PIECE = "piece int, start long, length long, ids_crc32 long"
+PIECE = "piece int, start long, length long"
+#: Where a row lies: its task, and its number among the rows of its length there.
+LIES = "_task long, _number long"
+#: Counts by task and length are broadcast up to so many, 24 bytes each; beyond, rows meet them by a shuffle.
+MAX_BROADCAST_COUNTS = 1_000_000
 
 
-def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+def _kind(ids: int) -> str:
+    """The bytes that an id takes in flight: two where the vocabulary allows, else four."""
+    return "<u2" if ids <= 1 << 16 else "<u4"
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str) -> TextEncoder[bytes]:
-    """Ids by the tokenizers library: its model for words of plain text, all of it for any other text."""
+def _encoder(path: str) -> tuple[TextEncoder[bytes], str]:
+    """Ids, and the bytes of one, by the tokenizers library: its model for words of plain text, all of it for any other text."""
     tokenizer = load(path)
     merge = tokenizer.model.tokenize
+    kind = _kind(tokenizer.get_vocab_size())
+    packed = lambda ids: np.array(ids, kind).tobytes()
     characters = str.maketrans(dict(zip(map(chr, range(256)), byte_characters())))
-    known = [_packed([i]) for i in range(tokenizer.get_vocab_size())]
+    known = [packed([i]) for i in range(tokenizer.get_vocab_size())]
 
     def word(w: str) -> bytes:
         return b"".join([known[t.id] for t in merge(w if w.isascii() else w.encode().decode("latin-1").translate(characters))])
 
-    text = lambda t: [_packed(tokenizer.encode(t, add_special_tokens=False).ids)]
-    return TextEncoder(path, tokenizer, word, text, lambda i: _packed([i]))
+    text = lambda t: [packed(tokenizer.encode(t, add_special_tokens=False).ids)]
+    return TextEncoder(path, tokenizer, word, text, lambda i: packed([i])), kind
 
 
 def token_pieces(
@@ -52,18 +59,18 @@ def token_pieces(
     id_col: str = "doc_id",
     text_col: str = "text",
     capacity: int = CAPACITY,
-    with_ids: bool = False,
 ) -> DataFrame:
-    """A row per piece: doc_id, piece, start, length, ids_crc32 (and `ids`, little-endian 32-bit, if asked).
+    """A row per piece: doc_id, piece, start, length, where it lies (see `pack`) and `ids`, as `_kind` says.
 
     A document is its ids and one separator id; null text counts as empty and leaves the separator alone. Documents
     longer than `capacity` are cut into pieces of that length, of which the last may be shorter. Texts are taken and
     pieces given on in small batches, so a task holds few of either.
     """
-    tail, size = _packed([SEPARATOR]), 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer_path)
+        encoder, kind = _encoder(tokenizer_path)
+        tail, width = np.array([SEPARATOR], kind).tobytes(), np.dtype(kind).itemsize
+        size, task, met = width * capacity, TaskContext.get().partitionId(), Counter()
         for batch in batches:
             for first in range(0, len(batch), TEXTS_AT_ONCE):
                 few = batch.slice(first, TEXTS_AT_ONCE)
@@ -72,7 +79,9 @@ def token_pieces(
                     ids = b"".join([*encoder.parts(text), tail])
                     for k, at in enumerate(range(0, len(ids), size)):
                         part = ids[at : at + size]
-                        rows.append((n, k, at // 4, len(part) // 4, zlib.crc32(part), *([part] if with_ids else [])))
+                        length = len(part) // width
+                        rows.append((n, k, at // width, length, task, met[length], part))
+                        met[length] += 1
                         held += len(part)
                         if held > BATCH_BYTES:
                             yield _pieces(few, rows)
@@ -81,16 +90,15 @@ def token_pieces(
                     yield _pieces(few, rows)
 
     texts = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    kind = T.StructType([texts.schema["doc_id"], *T.StructType.fromDDL(PIECE + (", ids binary" if with_ids else "")).fields])
+    kind = T.StructType([texts.schema["doc_id"], *T.StructType.fromDDL(f"{PIECE}, {LIES}, ids binary").fields])
     return texts.mapInArrow(cut, kind)
 
 
 def _pieces(texts: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
     places, *columns = zip(*rows)
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    names = ["piece", "start", "length", "ids_crc32", "ids"]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     arrays = [texts.column(0).take(pa.array(places)), *[pa.array(c, k) for c, k in zip(columns, kinds)]]
-    return pa.RecordBatch.from_arrays(arrays, ["doc_id", *names[: len(columns)]])
+    return pa.RecordBatch.from_arrays(arrays, ["doc_id", "piece", "start", "length", "_task", "_number", "ids"])
 
 
 class Pattern(NamedTuple):
@@ -168,21 +176,38 @@ def plan_bins(counts: Mapping[int, int], capacity: int) -> Iterator[Pattern]:
         yield Pattern(bin_, times)
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, salts: int | None = None) -> DataFrame:
+def lying(items: DataFrame) -> DataFrame:
+    """`items` with its rows' task and their number among the rows of their length there."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, met = TaskContext.get().partitionId(), Counter()
+        for batch in batches:
+            numbers = []
+            for length in batch.column("length").to_pylist():
+                numbers.append(met[length])
+                met[length] += 1
+            yield batch.append_column("_task", pa.array([task] * len(batch), pa.int64())).append_column("_number", pa.array(numbers, pa.int64()))
+
+    return items.mapInArrow(number, T.StructType([*items.schema.fields, *T.StructType.fromDDL(LIES).fields]))
+
+
+def pack(items: DataFrame, capacity: int = CAPACITY, max_broadcast: int = MAX_BROADCAST_COUNTS) -> DataFrame:
     """`items` (with a column `length` from 1 to `capacity`) with sequence_id and offset, as few sequences as it can.
 
     Documents of one length are alike to the plan, so the driver sees only the histogram of lengths, at most one count
     for each, and sends back runs of ranks: "of this length, ranks from r on go to sequences from s on, at offset o".
-    Ranks come from row numbers within (length, salt) and the counts of the salts before, so a length that holds a
-    third of all rows is dealt over as many tasks as there are salts (the session's shuffle partitions if not given).
-    Rows that repeat are packed as often as they come. Columns may be null; no row is lost.
+    A row's rank is its number in the task that wrote it and the counts of the tasks before, so rows are staged where they
+    are made and are not moved to be ranked. Columns may be null; rows that repeat are packed as often as they come. The
+    columns `_task` and `_number` are taken if `items` has both (see `lying`); of `items`, other columns must not be called
+    `_task`, `_number`, `_before`, `sequence_id` or `offset`, which is an error.
     """
     spark = items.sparkSession
-    salts = salts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    columns = items.columns
-    whole = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
-    rows = staged(items.withColumn("_row", whole).withColumn("_salt", F.pmod("_row", F.lit(salts)).cast("int")), "pieces")
-    counts = rows.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
+    given = {"_task", "_number"}
+    columns = [c for c in items.columns if c not in given]
+    if taken := {"_before", "sequence_id", "offset"} & set(items.columns) or (given & set(items.columns) if not given <= set(items.columns) else set()):
+        raise ValueError(f"columns of these names are made here: {', '.join(sorted(taken))}")
+    rows = Scratch(spark, "packing").staged(items if given <= set(items.columns) else lying(items), "pieces")
+    counts = rows.groupBy("length", "_task").agg(F.count("*").alias("_n"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
     keys, first_sequence, offsets, taken, sequence = [], [], [], Counter(), 0
     for pattern in plan_bins(histogram, capacity):
@@ -208,32 +233,30 @@ def pack(items: DataFrame, capacity: int = CAPACITY, salts: int | None = None) -
 
     before = counts.select(
         "length",
-        "_salt",
-        (F.sum("_n").over(Window.partitionBy("length").orderBy("_salt")) - F.col("_n")).alias("_before"),
-    )
-    number = F.row_number().over(Window.partitionBy("length", "_salt").orderBy("_row", *[F.col(f"`{c}`") for c in columns]))
-    placed = F.pandas_udf(place, "sequence_id long, offset long")("length", F.col("_before") + F.col("_number") - 1)
-    return (
-        rows.withColumn("_number", number)
-        .join(before, ["length", "_salt"])
-        .withColumn("_place", placed)
-        .select(*[F.col(f"`{c}`") for c in columns], "_place.*")
+        "_task",
+        (F.sum("_n").over(Window.partitionBy("length").orderBy("_task")) - F.col("_n")).alias("_before"),
     )
+    if counts.limit(max_broadcast + 1).count() <= max_broadcast:
+        before = F.broadcast(before)
+    placed = F.pandas_udf(place, "sequence_id long, offset long")("length", F.col("_before") + F.col("_number"))
+    return rows.join(before, ["length", "_task"]).withColumn("_place", placed).select(*[F.col(f"`{c}`") for c in columns], "_place.*")
 
 
 def pack_documents(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """The packed sequences of all documents, with their ids and pieces; see `token_pieces`, `pack` and `sequences`."""
-    pieces = token_pieces(df, tokenizer_path, id_col, text_col, capacity, with_ids=True).drop("ids_crc32")
-    return sequences(pack(pieces, capacity))
+    kind = _kind(load(tokenizer_path).get_vocab_size())
+    return sequences(pack(token_pieces(df, tokenizer_path, id_col, text_col, capacity), capacity), kind)
 
 
-def sequences(packed: DataFrame) -> DataFrame:
+def sequences(packed: DataFrame, kind: str = "<u4") -> DataFrame:
     """Whole sequences of packed pieces that carry `ids`: sequence_id, length, ids and pieces, by their offset.
 
-    A sequence is bounded by the capacity, and so is what a group holds.
+    Ids come as `kind` and are little-endian 32-bit numbers in the sequence. A sequence is bounded by the capacity, and so is what a group holds.
     """
     piece = ["offset", "doc_id", "piece", "start", "length"]
 
+    wide = lambda some: some.map(lambda ids: np.frombuffer(ids, kind).astype("<u4").tobytes())
+    widened = F.pandas_udf(wide, "binary") if kind != "<u4" else lambda c: c
     joined = F.aggregate("parts", F.lit(b""), lambda done, part: F.concat(done, part["ids"]))
     return (
         packed.groupBy("sequence_id")
@@ -241,7 +264,7 @@ def sequences(packed: DataFrame) -> DataFrame:
         .select(
             "sequence_id",
             "length",
-            joined.alias("ids"),
+            widened(joined).alias("ids"),
             F.transform("parts", lambda p: F.struct(*[p[c].alias(c) for c in piece])).alias("pieces"),
         )
     )

@@ -19,7 +19,7 @@ from tianguis.llm.quality_classifier import quality_scores
 from tianguis.llm.quality_rules import quality_rules
 from tianguis.llm.repeated_phrases import passage_digests, repeated_passages
 from tianguis.llm.secrets import KINDS, base_spans, secret_spans, span_list
-from tianguis.llm.staging import new_path, staged
+from tianguis.llm.staging import new_path
 from tianguis.llm.suffix_dedup import repeated_spans, span_digests
 from tianguis.llm.warc import read_warc, write_warc
 from tianguis.llm.whitening import whiten
@@ -88,7 +88,7 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
-    pieces = sequence_pieces(staged(packed, "sequences"))
+    pieces = sequence_pieces(packed)
     return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
