@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import chain, groupby
 
 import ahocorasick
 import numpy as np
@@ -134,7 +134,10 @@ class Shard:
     def __init__(self, lines: list[tuple[int, tuple, list[bytes]]], window: int = WINDOW):
         self.window, self.lines = window, lines
         numbers = Numbers()
-        self.ids = [np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)) for _, _, words in lines]
+        self.ids = [tuple(map(numbers.__getitem__, words)) for _, _, words in lines]
+        # Places as whole numbers: the rank of the document, then the word.
+        rank = {doc: n << 40 for n, doc in enumerate(sorted({doc for _, (doc, _), _ in lines}))}
+        self.places = [rank[doc] + start for _, (doc, start), _ in lines]
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
         self.sizes: list[int] = []
         self._compile()
@@ -143,7 +146,7 @@ class Shard:
         sizes = np.array([len(ids) for ids in self.ids])
         begins = np.cumsum(sizes) - sizes
         line = np.repeat(np.arange(len(sizes)), sizes)
-        hashes = _rolled(np.concatenate(self.ids).astype(np.uint64) + np.uint64(1), self.window)
+        hashes = _rolled(np.fromiter(chain.from_iterable(self.ids), np.uint64, int(sizes.sum())) + np.uint64(1), self.window)
         whole = line[: len(hashes)] == line[self.window - 1 :]
         _, kind, count = np.unique(hashes[whole], return_inverse=True, return_counts=True)
         common = np.zeros(len(hashes), bool)
@@ -158,31 +161,29 @@ class Shard:
         if self.sizes:
             self.automaton.make_automaton()
 
-    def _add(self, phrase: np.ndarray) -> None:
-        key = tuple(phrase.tolist())
-        if not self.automaton.exists(key):
-            self.automaton.add_word(key, len(self.sizes))
+    def _add(self, phrase: tuple[int, ...]) -> None:
+        if not self.automaton.exists(phrase):
+            self.automaton.add_word(phrase, len(self.sizes))
             self.sizes.append(len(phrase))
 
     def located(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each line, which of its windows lie in a phrase, and which of these in one that occurs at an earlier place."""
         hits: list[list[tuple[int, int]]] = [[] for _ in self.lines]
-        first: list[tuple | None] = [None] * len(self.sizes)
-        for found, (_, (doc, start), _), ids in zip(hits if self.sizes else (), self.lines, self.ids):
-            for end, phrase in self.automaton.iter(tuple(ids.tolist())):
-                at = end + 1 - self.sizes[phrase]
+        sizes, first = self.sizes, [1 << 62] * len(self.sizes)
+        for found, place, ids in zip(hits if sizes else (), self.places, self.ids):
+            for end, phrase in self.automaton.iter(ids):
+                at = end + 1 - sizes[phrase]
                 found.append((at, phrase))
-                place = (doc, start + at)
-                if first[phrase] is None or place < first[phrase]:
-                    first[phrase] = place
-        for found, (_, (doc, start), _), ids in zip(hits, self.lines, self.ids):
-            inside, later = np.zeros((2, len(ids) - self.window + 1), bool)
+                if place + at < first[phrase]:
+                    first[phrase] = place + at
+        for found, place, ids in zip(hits, self.places, self.ids):
+            inside, later = bytearray(len(ids) - self.window + 1), bytearray(len(ids) - self.window + 1)
             for at, phrase in found:
-                windows = slice(at, at + self.sizes[phrase] - self.window + 1)
-                inside[windows] = True
-                if (doc, start + at) > first[phrase]:
-                    later[windows] = True
-            yield inside, later
+                windows = sizes[phrase] - self.window + 1
+                inside[at : at + windows] = b"\1" * windows
+                if place + at > first[phrase]:
+                    later[at : at + windows] = b"\1" * windows
+            yield np.frombuffer(inside, bool), np.frombuffer(later, bool)
 
 
 def _settled(lines: list[dict], window: int, doc_id: pa.DataType) -> pa.RecordBatch:
