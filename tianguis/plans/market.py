@@ -39,17 +39,13 @@ def market_sales(t: Tables, mes: date | None = None) -> DataFrame:
         "EMPRESA", "TIPO_CLIENTE_ID", "FORMATO", "INCLUIR", "ZONA"
     )
     customers = t["dim_clientes"].select(*CUSTOMER, "TIPO_CLIENTE_ID")
-    # Added up before any join: a hot customer arrives as its distinct months, items and warehouses.
-    sold = (
-        sales.withColumn("MES", month(F.col("FECHA")))
-        .groupBy("EMPRESA", "MES", "CLIENTE_ID", "ALMACEN_ID", "ARTICULO_ID")
-        .agg(*[F.sum(c).alias(n) for n, c in MEASURES.items()])
-    )
-    by_channel = customers.join(channels, ["EMPRESA", "TIPO_CLIENTE_ID"], "left").drop("TIPO_CLIENTE_ID")
     keys = ["EMPRESA", "MES", "FORMATO", "INCLUIR", "ZONA", "ALMACEN_ID", "ARTICULO_ID"]
-    # Only the channel decides the group; item and warehouse names join the far fewer totals.
+    # The customer is all that says the channel, so it is looked up first and every row is added up once, before the shuffle
+    # too. Each lookup is a table by itself: small ones are broadcast, and a hot customer of a large one is split.
     totals = (
-        sold.join(by_channel, CUSTOMER, "left")
+        sales.withColumn("MES", month(F.col("FECHA")))
+        .join(customers, CUSTOMER, "left")
+        .join(channels, ["EMPRESA", "TIPO_CLIENTE_ID"], "left")
         .withColumns(
             {
                 "FORMATO": F.coalesce("FORMATO", F.lit(DEFAULT_CHANNEL)),
@@ -58,7 +54,7 @@ def market_sales(t: Tables, mes: date | None = None) -> DataFrame:
             }
         )
         .groupBy(*keys)
-        .agg(*[F.sum(n).alias(n) for n in MEASURES])
+        .agg(*[F.sum(c).alias(n) for n, c in MEASURES.items()])
     )
     return (
         _label_items(totals, t)

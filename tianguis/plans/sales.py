@@ -11,7 +11,7 @@ from ..functions.columns import day, days_between, is_invoice, is_return, month,
 from ..model import Tables
 from ..operators.aggregates import Distinct, summarise
 from .catalog import DEFAULT_CHANNEL, customer_type_channels
-from .dims import CUSTOMER, sellers, with_item_and_warehouse, with_items
+from .dims import CUSTOMER, ITEM, lines, sellers, with_item_and_warehouse
 
 AMOUNTS = ("IMPORTE_NETO", "COSTO", "UTILIDAD")
 
@@ -123,25 +123,19 @@ def customer_summary(t: Tables, as_of: date) -> DataFrame:
 
 def line_margin(t: Tables) -> DataFrame:
     """Margin per company, month and product line."""
-    # Added up before any join: a hot item or customer arrives as its distinct pairs and months.
-    sold = with_items(
-        t["fact_ventas_articulo"]
-        .withColumn("MES", month(F.col("FECHA")))
-        .groupBy("EMPRESA", "MES", "ARTICULO_ID", "CLIENTE_ID")
-        .agg(*[F.sum(n).alias(n) for n in ("UNIDADES", *AMOUNTS)]),
-        t,
-    )
-    keys = ["EMPRESA", "MES", "LINEA_ARTICULO_ID", "LINEA", "GRUPO_LINEA_ID"]
-    return summarise(
-        sold,
-        keys,
+    # The item says the line, so it is looked up first; names join the few totals.
+    item_lines = t["dim_articulos"].select(*ITEM, "LINEA_ARTICULO_ID")
+    sold = summarise(
+        t["fact_ventas_articulo"].withColumn("MES", month(F.col("FECHA"))).join(item_lines, ITEM, "left"),
+        ["EMPRESA", "MES", "LINEA_ARTICULO_ID"],
         sums=_sums("UNIDADES", *AMOUNTS),
         distinct=[
             Distinct("ARTICULO_ID", {"ARTICULOS_VENDIDOS": None}),
             Distinct("CLIENTE_ID", {"CLIENTES": None}),
         ],
-    ).select(
-        *keys, "UNIDADES", *AMOUNTS,
+    )
+    return sold.join(lines(t), ["EMPRESA", "LINEA_ARTICULO_ID"], "left").select(
+        "EMPRESA", "MES", "LINEA_ARTICULO_ID", "LINEA", "GRUPO_LINEA_ID", "UNIDADES", *AMOUNTS,
         ratio(F.col("UTILIDAD"), F.col("IMPORTE_NETO")).alias("MARGEN_PCT"),
         "ARTICULOS_VENDIDOS", "CLIENTES",
     )
