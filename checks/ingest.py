@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
@@ -11,15 +12,18 @@ from pyspark.sql.window import Window
 
 from tianguis import jobs, model
 from tianguis.functions.columns import month
-from tianguis.model import BALANCES, PURCHASES, SALES, SALES_DOCS, STOCK, SYNC_LOG, TableSpec, Tables
+from tianguis.model import BALANCES, LAST_PURCHASES, LAST_SALES, PURCHASES, SALES, SALES_DOCS, STOCK, SYNC_LOG, YEAR_BALANCES, TableSpec, Tables
+from tianguis.operators.rollups import ROLLUPS
 from tianguis.operators.store import Store
+from tianguis.plans import inventory
 from tianguis.plans.monitoring import last_good_date, last_good_dates
 from tianguis.sources.feeds import SALES_FEEDS, month_delta, opening_balance, snapshot_of, tagged_union, union_all
 from tianguis.sources.pages import HEADER, chain_faults, read_inferred_pages, read_pages, read_pages_with_defaults, strict
 from tianguis.sources.rules import check_rules, good_rules
+from tianguis.publication import Publication
 from tianguis.sources.typing import finalise, require, type_rows
 
-from .oracles import MES, SQL, dbl
+from .oracles import _MONTHS_BY, _NOW_BY, _SALES_COLS, _SELL_IN, _SELL_OUT, MES, SQL, dbl
 from .queries import register
 from .scratch import fresh_folder
 from .tables import AS_OF, COMPANY, ctes
@@ -454,6 +458,120 @@ both(
 UNION ALL SELECT 'fact_ventas_articulo', last_day(FECHA), TIMESTAMP '2024-01-31 00:00:00', count(*), 'success' FROM {SALES.name} GROUP BY 2""",
 )
 
+# --- what is kept of tables, by month and year ---
+
+_JULY = (date(2001, 7, 1), date(2001, 7, 31))
+
+
+def _kept(t: Tables, store: Store, spec: TableSpec, name: str, *loads) -> Tables:
+    """The stored table and what is kept of it: all but the last load are summed up, the last is read from the table."""
+    rollup = replace(ROLLUPS[name], source=spec)
+    for load in loads:
+        rollup.refresh(store)
+        load()
+    return t.replacing(**{spec.name: store.read(spec), name: rollup.read(store)})
+
+
+def _kept_sales(t: Tables) -> DataFrame:
+    """Recent units and last sales after a quarter was replaced and a month emptied."""
+    store, spec, rows = _stored_sales(t)
+    kept = _kept(
+        t, store, spec, LAST_SALES.name,
+        lambda: store.replace_range(spec, _changed_sales(rows, f"{_IN_QUARTER} AND month(FECHA) <> 5"), *_QUARTER),
+        lambda: store.replace_range(spec, rows.filter("false"), *_JULY),
+    )
+    return inventory.sales_so_far(kept, AS_OF).filter("VENDIDAS IS NOT NULL OR ULTIMA_VENTA IS NOT NULL")
+
+
+both(
+    "V06_ventas_guardadas",
+    _kept_sales,
+    f"""{ctes(SALES.name)}, g AS (SELECT EMPRESA, ARTICULO_ID, ALMACEN_ID, sum(UNIDADES) FILTER (FECHA >= DATE '2001-08-01' - 90) AS n,
+  max(FECHA) FILTER (TIPO_DOCTO = 'F') AS ULTIMA_VENTA FROM {SALES.name}
+  WHERE NOT ({_IN_QUARTER} AND month(FECHA) = 5) AND FECHA NOT BETWEEN DATE '2001-07-01' AND DATE '2001-07-31' GROUP BY ALL)
+SELECT EMPRESA, ARTICULO_ID, ALMACEN_ID, CAST(n AS DOUBLE) AS VENDIDAS, ULTIMA_VENTA FROM g WHERE n IS NOT NULL OR ULTIMA_VENTA IS NOT NULL""",
+)
+
+
+def _kept_purchases(t: Tables) -> DataFrame:
+    rows = _monthly(t, PURCHASES.name)
+    store, spec = stored(rows, PURCHASES.name, model.REPLACE_RANGE, partition_by="PERIODO")
+    store.replace_range(spec, rows, *_DAYS)
+    kept = _kept(
+        t, store, spec, LAST_PURCHASES.name,
+        lambda: store.replace_range(spec, rows.filter("ARTICULO_ID % 2 = 0"), *_QUARTER),
+        lambda: store.replace_range(spec, rows.filter("ARTICULO_ID % 3 = 0"), *_JULY),
+    )
+    return inventory.last_receipts(kept)
+
+
+both(
+    "V06_compras_guardadas",
+    _kept_purchases,
+    f"""{ctes(PURCHASES.name)} SELECT EMPRESA, ARTICULO_ID, max(FECHA) AS ULTIMA_COMPRA FROM {PURCHASES.name}
+WHERE TIPO_DOCTO = 'C' AND ESTATUS <> 'C' AND (NOT ({_IN_QUARTER}) OR ARTICULO_ID % 2 = 0)
+  AND (FECHA NOT BETWEEN DATE '2001-07-01' AND DATE '2001-07-31' OR ARTICULO_ID % 3 = 0) GROUP BY ALL""",
+)
+
+
+def _kept_balances(t: Tables) -> DataFrame:
+    """Stock of one month, from the sums of the years before and the month's own year."""
+    rows = t[BALANCES.name]
+    store, spec = stored(rows, BALANCES.name, model.REPLACE_MONTHS, partition_by="PERIODO", cluster_by=BALANCES.cluster_by)
+    store.replace_range(spec, rows, *_DAYS)
+    kept = _kept(
+        t, store, spec, YEAR_BALANCES.name,
+        lambda: store.replace_months(spec, rows.filter("ARTICULO_ID % 3 = 0"), _TWO_MONTHS),
+        lambda: store.replace_months(spec, rows.filter("ARTICULO_ID % 5 = 0"), [date(1999, 1, 1)]),
+    )
+    return inventory.closing_stock(kept, AS_OF, date(2001, 3, 1))
+
+
+both(
+    "V14_saldos_guardados",
+    _kept_balances,
+    f"""{ctes(BALANCES.name)}, g AS (SELECT EMPRESA, ARTICULO_ID, ALMACEN_ID, sum(coalesce(ENTRADAS_UNIDADES, 0) - coalesce(SALIDAS_UNIDADES, 0)) AS EXISTENCIA_FIN_MES,
+  sum(coalesce(ENTRADAS_COSTO, 0) - coalesce(SALIDAS_COSTO, 0)) AS VALOR_COSTO_FIN_MES FROM {BALANCES.name} WHERE PERIODO <= DATE '2001-03-01'
+  AND (NOT {_IN_MONTHS} OR ARTICULO_ID % 3 = 0) AND (PERIODO <> DATE '1999-01-01' OR ARTICULO_ID % 5 = 0) GROUP BY ALL)
+SELECT EMPRESA, ARTICULO_ID, ALMACEN_ID, DATE '2001-03-01' AS PERIODO, {dbl('EXISTENCIA_FIN_MES VALOR_COSTO_FIN_MES')} FROM g""",
+)
+
+# --- P: the supplier extracts as files ---
+
+_STAY = "PROVEEDOR_ID % 9 <> 0"
+
+
+def _published(t: Tables, name: str) -> DataFrame:
+    """An extract published for all suppliers, and again when every third of them has left."""
+    spark = t[PURCHASES.name].sparkSession
+    publication = Publication(Store(spark, fresh_folder(spark)))
+    publication.publish(t, AS_OF, [name])
+    stay = {n: t[n].filter(_STAY) for n in (PURCHASES.name, "dim_articulo_proveedor")}
+    publication.publish(t.replacing(**stay), AS_OF, [name])
+    return publication.read(name)
+
+
+both("P1_publicado", lambda t: _published(t, "sellout"), f"{_SELL_OUT} SELECT PROVEEDOR_ID, {_SALES_COLS} FROM r WHERE {_STAY}")
+both("P2_publicado", lambda t: _published(t, "sellin"), f"{_SELL_IN} SELECT PROVEEDOR_ID, {_SALES_COLS}, COMPRAS FROM r WHERE {_STAY}")
+both("P3_publicado", lambda t: _published(t, "inventario_actual"), f"{_NOW_BY} SELECT * FROM r WHERE {_STAY}")
+
+
+def _published_months(t: Tables) -> DataFrame:
+    """The month series of all suppliers, published whole; what was written is added up by supplier and month."""
+    spark = t[PURCHASES.name].sparkSession
+    publication = Publication(Store(spark, fresh_folder(spark)))
+    publication.publish(t, AS_OF, ["inventario_mensual"])
+    sums = [F.sum(c).alias(c) for c in ("EXISTENCIA_FIN_MES", "UNIDADES_VENDIDAS")]
+    return publication.read("inventario_mensual").groupBy("PROVEEDOR_ID", "PERIODO").agg(F.count(F.lit(1)).alias("renglones"), *sums)
+
+
+both(
+    "P4_publicado",
+    _published_months,
+    f"""{_MONTHS_BY} SELECT PROVEEDOR_ID, PERIODO, count(*) AS renglones, sum(EXISTENCIA_FIN_MES) AS EXISTENCIA_FIN_MES,
+  sum(UNIDADES_VENDIDAS) AS UNIDADES_VENDIDAS FROM r GROUP BY ALL""",
+)
+
 # --- J: refresh jobs over a landing folder ---
 
 _FIRST, _CHUNK = date(1995, 1, 1), 7

@@ -16,6 +16,7 @@ REPLACE_RANGE = "replace_range"
 REPLACE_MONTHS = "replace_months"
 SNAPSHOT = "snapshot"
 APPEND = "append"
+ROLLUP = "rollup"
 
 
 @dataclass(frozen=True)
@@ -191,6 +192,25 @@ ALL_TABLES = (
 )
 SPECS = {s.name: s for s in ALL_TABLES}
 
+# What is kept of facts, by month or year (see operators/rollups.py); the partition is the first day of it.
+LAST_SALES = _spec(
+    "ultimas_ventas_mes",
+    "MES DATE NOT NULL, EMPRESA STRING NOT NULL, ARTICULO_ID BIGINT, ALMACEN_ID BIGINT, ULTIMA_VENTA DATE",
+    meta=False, load=ROLLUP, partition_by="MES", cluster_by=("ARTICULO_ID", "ALMACEN_ID"),
+)
+LAST_PURCHASES = _spec(
+    "ultimas_compras_mes",
+    "MES DATE NOT NULL, EMPRESA STRING NOT NULL, ARTICULO_ID BIGINT, ULTIMA_COMPRA DATE",
+    meta=False, load=ROLLUP, partition_by="MES", cluster_by=("ARTICULO_ID",),
+)
+YEAR_BALANCES = _spec(
+    "saldos_por_ano",
+    "DESDE DATE NOT NULL, EMPRESA STRING NOT NULL, ARTICULO_ID BIGINT, ALMACEN_ID BIGINT, UNIDADES DECIMAL(38,9), COSTO DECIMAL(38,9)",
+    meta=False, load=ROLLUP, partition_by="DESDE", cluster_by=("ARTICULO_ID", "ALMACEN_ID"),
+)
+#: Rollup -> the table it is kept of.
+KEPT_OF = {LAST_SALES.name: SALES.name, LAST_PURCHASES.name: PURCHASES.name, YEAR_BALANCES.name: BALANCES.name}
+
 
 class Tables(Mapping[str, DataFrame]):
     """Lazy name -> DataFrame mapping: a plan only builds the inputs it asks for."""
@@ -212,5 +232,9 @@ class Tables(Mapping[str, DataFrame]):
         return len(self._names)
 
     def replacing(self, **frames: DataFrame) -> "Tables":
-        """The same tables with some of them swapped, e.g. facts cut down to one supplier."""
-        return Tables(lambda name: frames[name] if name in frames else self[name], self._names)
+        """The same tables with some of them swapped, e.g. facts cut down to one supplier.
+
+        What is kept of a table that is swapped goes, unless it is swapped as well.
+        """
+        names = [n for n in self._names if n in frames or KEPT_OF.get(n) not in frames]
+        return Tables(lambda name: frames[name] if name in frames else self[name], (*names, *[n for n in frames if n not in names]))

@@ -20,6 +20,7 @@ from ..model import SPECS, TableSpec, Tables
 from ..sources.typing import fail_when
 from .aggregates import pick_last
 from .live import Files, Live, Pointers
+from .rollups import ROLLUPS
 
 #: Whole-number keys are indexed in ranges of so many, other keys in so many buckets.
 KEYS_PER_RANGE = 1 << 20
@@ -78,9 +79,10 @@ class Store:
                 return self._empty(spec)
             return self.spark.read.schema(spec.schema).parquet(f"{self.root}/{spec.name}")
         live = self.live(spec)
-        return self._read(spec, live, list(live.folders))
+        return self.read_partitions(spec, list(live.folders), live)
 
-    def _read(self, spec: TableSpec, live: Live, values: list[str]) -> DataFrame:
+    def read_partitions(self, spec: TableSpec, values: list[str], live: Live) -> DataFrame:
+        """Some partitions of a state of the table; those it does not have are left out."""
         folders = [(live.folders[v], v) for v in values if v in live.folders]
         if not folders:
             return self._empty(spec, live)
@@ -101,7 +103,8 @@ class Store:
         return T.StructType.fromJson(json.loads(live.columns)) if live.columns else None
 
     def tables(self) -> Tables:
-        return Tables(lambda name: self.read(SPECS[name]))
+        """Every table by name, and what is kept of some (see ``rollups``)."""
+        return Tables(lambda name: ROLLUPS[name].read(self) if name in ROLLUPS else self.read(SPECS[name]), (*SPECS, *ROLLUPS))
 
     # --- writing ---
 
@@ -144,7 +147,7 @@ class Store:
         before = pointers.live()
         return self._committed(spec, pointers, before, rows, lambda written: concerned if written or if_none else None)
 
-    def _committed(self, spec: TableSpec, pointers: Pointers, before: Live, rows: DataFrame, gone, index=None) -> dict[str, int]:
+    def _committed(self, spec: TableSpec, pointers: Pointers, before: Live, rows: DataFrame, gone, index=None, built_from=None) -> dict[str, int]:
         after = self._checked(spec, before, rows.schema)
         load = pointers.new_load(before)
         try:
@@ -156,6 +159,8 @@ class Store:
             after = after.replacing([*concerned, *written], load, written)
             if index is not None:
                 after = replace(after, index=before.index | index(load))
+            if built_from is not None:
+                after = replace(after, built_from=built_from)
             pointers.commit(before, after)
             return written
         except Exception:
@@ -184,6 +189,18 @@ class Store:
         """L1: all rows anew. No rows, no change."""
         return self._replace(spec, rows, [""], if_none=False)
 
+    def replace_all(self, spec: TableSpec, rows: DataFrame) -> dict[str, int]:
+        """Every partition gives way to the rows, also those left without; rows by partition."""
+        pointers = Pointers(self.files, spec.name)
+        before = pointers.live()
+        return self._committed(spec, pointers, before, rows, lambda written: list(before.folders))
+
+    def commit_rollup(
+        self, spec: TableSpec, pointers: Pointers, before: Live, rows: DataFrame, periods: list[str], built_from: dict[str, str]
+    ) -> dict[str, int]:
+        """Some periods of a rollup anew, together with the loads of the source that it now stands for."""
+        return self._committed(spec, pointers, before, rows, lambda written: periods, built_from=dict(built_from))
+
     def append(self, spec: TableSpec, rows: DataFrame) -> None:
         """L2, L10."""
         rows.write.mode("append").parquet(f"{self.root}/{spec.name}")
@@ -227,7 +244,7 @@ class Store:
             index = self._indexed(spec, before, touched)
             holding = index.join(staged.select(spec.key), spec.key, "left_semi").select(part)
             days = sorted({str(r[0]) for r in holding.distinct().collect()} | set(counts))  # at most one per day kept
-            kept = self._read(spec, before, days).join(staged.select(spec.key), spec.key, "left_anti")
+            kept = self.read_partitions(spec, days, before).join(staged.select(spec.key), spec.key, "left_anti")
 
             def write_index(load: str) -> dict[str, str]:
                 """The touched ranges anew; those that hold no key any more are gone with it."""

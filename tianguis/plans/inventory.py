@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.columns import day, days_between, is_invoice, is_receipt, month, not_cancelled, ratio
-from ..model import Tables
+from ..model import LAST_PURCHASES, LAST_SALES, YEAR_BALANCES, Tables
 from .dims import ITEM, with_item_and_warehouse
 
 STOCK_KEY = ["EMPRESA", "ARTICULO_ID", "ALMACEN_ID"]
@@ -28,23 +28,38 @@ def latest_snapshot(t: Tables, only_items: DataFrame | None = None) -> DataFrame
     return rows if only_items is None else rows.join(only_items, ITEM, "left_semi")
 
 
+def sales_so_far(t: Tables, as_of: date) -> DataFrame:
+    """Units of the last 90 days and day of the last sale, per item and warehouse.
+
+    Where the last sales of each month are kept, the sales of those days are all that is read of the fact.
+    """
+    sales, kept = t["fact_ventas_articulo"], t.get(LAST_SALES.name)
+    recent, sold_on = F.col("FECHA") >= F.date_sub(day(as_of), 90), F.when(is_invoice(), F.col("FECHA"))
+    if kept is None:
+        rows = sales.select(*STOCK_KEY, F.when(recent, F.col("UNIDADES")).alias("VENDIDAS"), sold_on.alias("ULTIMA_VENTA"))
+    else:
+        rows = sales.filter(recent).select(*STOCK_KEY, F.col("UNIDADES").alias("VENDIDAS"))
+        rows = rows.unionByName(kept.select(*STOCK_KEY, "ULTIMA_VENTA"), allowMissingColumns=True)
+    return rows.groupBy(*STOCK_KEY).agg(F.sum("VENDIDAS").alias("VENDIDAS"), F.max("ULTIMA_VENTA").alias("ULTIMA_VENTA"))
+
+
+def last_receipts(t: Tables) -> DataFrame:
+    """Day of the last receipt of an item, from what is kept of each month where that is there."""
+    rows = t.get(LAST_PURCHASES.name)
+    if rows is None:
+        rows = t["fact_compras_partidas"].filter(is_receipt() & not_cancelled()).withColumn("ULTIMA_COMPRA", F.col("FECHA"))
+    return rows.groupBy(*ITEM).agg(F.max("ULTIMA_COMPRA").alias("ULTIMA_COMPRA"))
+
+
 def stock_and_movements(t: Tables, as_of: date, only_items: DataFrame | None = None) -> DataFrame:
     """Newest stock per item and warehouse with recent sales and last movements, ids only."""
     if only_items is not None:
-        t = t.replacing(**{f: t[f].join(only_items, ITEM, "left_semi") for f in ("fact_ventas_articulo", "fact_compras_partidas")})
-    recent = F.col("FECHA") >= F.date_sub(day(as_of), 90)
-    # Recent units and last sale come from one pass over sales.
-    sold = t["fact_ventas_articulo"].groupBy(*STOCK_KEY).agg(
-        F.sum(F.when(recent, F.col("UNIDADES"))).alias("VENDIDAS"),
-        F.max(F.when(is_invoice(), F.col("FECHA"))).alias("ULTIMA_VENTA"),
-    )
-    bought = (
-        t["fact_compras_partidas"].filter(is_receipt() & not_cancelled()).groupBy(*ITEM).agg(F.max("FECHA").alias("ULTIMA_COMPRA"))
-    )
+        facts = ("fact_ventas_articulo", "fact_compras_partidas", LAST_SALES.name, LAST_PURCHASES.name)
+        t = t.replacing(**{f: t[f].join(only_items, ITEM, "left_semi") for f in facts if f in t})
     return (
         latest_snapshot(t, only_items)
-        .join(sold, STOCK_KEY, "left")
-        .join(bought, ITEM, "left")
+        .join(sales_so_far(t, as_of), STOCK_KEY, "left")
+        .join(last_receipts(t), ITEM, "left")
         .withColumn("DIAS_SIN_VENTA", days_between(day(as_of), F.col("ULTIMA_VENTA")))
     )
 
@@ -185,12 +200,25 @@ def monthly_inventory(t: Tables, as_of: date) -> DataFrame:
 
 
 def closing_stock(t: Tables, as_of: date, mes: date) -> DataFrame:
-    """Month-end stock of one month only: a sum up to it, no series needed."""
-    mes = mes.replace(day=1)
-    rows = t["fact_saldos_mensuales"].filter(
-        (F.col("PERIODO") <= day(mes)) & F.lit(mes <= as_of.replace(day=1))
+    """Month-end stock of one month only: a sum up to it, no series needed.
+
+    Where the years' sums are kept, movements are read of the month's own year alone.
+    """
+    mes, kept = mes.replace(day=1), t.get(YEAR_BALANCES.name)
+    new_year = day(mes.replace(month=1))
+    rows = t["fact_saldos_mensuales"].filter(F.col("PERIODO") <= day(mes))
+    if kept is not None:
+        rows = rows.filter(F.col("PERIODO") >= new_year)
+    rows = rows.select(
+        *STOCK_KEY,
+        (_or_zero("ENTRADAS_UNIDADES") - _or_zero("SALIDAS_UNIDADES")).alias("UNIDADES"),
+        (_or_zero("ENTRADAS_COSTO") - _or_zero("SALIDAS_COSTO")).alias("COSTO"),
+    )
+    if kept is not None:
+        rows = rows.unionByName(kept.filter(F.col("DESDE") < new_year).select(*STOCK_KEY, "UNIDADES", "COSTO"))
+    return (
+        rows.filter(F.lit(mes <= as_of.replace(day=1)))
+        .groupBy(*STOCK_KEY)
+        .agg(F.sum("UNIDADES").alias("EXISTENCIA_FIN_MES"), F.sum("COSTO").alias("VALOR_COSTO_FIN_MES"))
+        .withColumn("PERIODO", day(mes))
     )
-    return rows.groupBy(*STOCK_KEY).agg(
-        F.sum(_or_zero("ENTRADAS_UNIDADES") - _or_zero("SALIDAS_UNIDADES")).alias("EXISTENCIA_FIN_MES"),
-        F.sum(_or_zero("ENTRADAS_COSTO") - _or_zero("SALIDAS_COSTO")).alias("VALOR_COSTO_FIN_MES"),
-    ).withColumn("PERIODO", day(mes))
