@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 
-from tianguis.llm.quality_classifier import isotonic, quality_scores
+from tianguis.llm.quality_classifier import CALIBRATION_BINS, RIDGE, fit, isotonic, quality_scores, statistics
 
 
 def test_isotonic():
@@ -31,3 +31,23 @@ def test_nulls_repeats_and_empty_tables(spark, documents):
     none = labels.limit(0)
     assert {r.score for r in quality_scores(documents(rows), none).collect()} == {0.5}
     assert quality_scores(documents([]), none).collect() == []
+
+
+def test_weights_are_those_of_a_plain_ridge_regression(spark):
+    """Standardised rows, Fourier features and normal equations against numpy on all rows at once."""
+    rng, width = np.random.default_rng(5), len(statistics(""))
+    x = rng.normal(3, 2, (400, width))
+    y = (x[:, 0] + 0.5 * x[:, 1] > 4.5).astype(int)
+    rows = spark.createDataFrame([(i, a.tolist(), int(b)) for i, (a, b) in enumerate(zip(x, y))], "doc_id long, x array<double>, label int")
+    model = fit(rows, features=32)
+    standard = (x - x.mean(0)) / x.std(0)
+    z = np.sqrt(2 / 32) * np.cos(standard @ model.directions + model.phases)
+    z = np.column_stack([z, np.ones(len(x))])
+    # Ridge as least squares with one more row per weight; the constant is not held down.
+    more = np.sqrt(RIDGE) * np.eye(33)[:32]
+    weights = np.linalg.lstsq(np.vstack([z, more]), np.concatenate([y, np.zeros(32)]), rcond=None)[0]
+    assert np.allclose(model.weights, weights, atol=1e-6)
+    assert np.allclose(model.raw(x), z @ weights, atol=1e-6)
+    assert (np.diff(model.levels) >= 0).all()
+    bins = np.floor(z @ weights * CALIBRATION_BINS)
+    assert np.isclose(sum(model.levels[np.searchsorted(model.bins, (b + 0.5) / CALIBRATION_BINS - 1e-9)] for b in bins), y.sum(), atol=1e-6)
