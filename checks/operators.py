@@ -11,6 +11,7 @@ from tianguis.functions.columns import (
 )
 from tianguis.model import Tables
 from tianguis.operators.aggregates import Distinct, pick_first, pick_last, summarise
+from tianguis.operators.joins import spread_join
 from tianguis.plans import catalog, dims, inventory, report
 from tianguis.sources.feeds import union_all
 from tianguis.sources.rules import good_rules
@@ -107,6 +108,15 @@ both(
 FROM {V} v LEFT JOIN dim_articulos a ON a.ARTICULO_ID = v.ARTICULO_ID LEFT JOIN dim_lineas l ON l.LINEA_ARTICULO_ID = a.LINEA_ARTICULO_ID
 LEFT JOIN dim_almacenes al ON al.ALMACEN_ID = v.ALMACEN_ID""",
 )
+both(
+    "JN1_claves_calientes",
+    lambda t: spread_join(
+        spread_join(t[V], t["dim_clientes"].select(*dims.CUSTOMER, F.col("NOMBRE").alias("CLIENTE")), dims.CUSTOMER, partitions=2_000),
+        dims.articles(t).select(*dims.ITEM, "ARTICULO"), dims.ITEM, "inner", partitions=2_000,
+    ).select(*SALE, "CLIENTE", "ARTICULO"),
+    f"""{ctes(f'{V} dim_articulos dim_clientes')} SELECT {', '.join('v.' + c for c in SALE)}, quien.NOMBRE AS CLIENTE, que.NOMBRE AS ARTICULO
+FROM dim_articulos que JOIN {V} v USING (EMPRESA, ARTICULO_ID) LEFT JOIN dim_clientes quien ON quien.EMPRESA = v.EMPRESA AND quien.CLIENTE_ID = v.CLIENTE_ID""",
+)
 both(
     "JN2_dimension_totales",
     lambda t: t["dim_clientes"].select("EMPRESA", "CLIENTE_ID").join(

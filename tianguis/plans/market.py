@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import day, month
 from ..model import Tables
+from ..operators.joins import spread_join
 from .catalog import DEFAULT_CHANNEL, customer_type_channels, item_codes
 from .dims import CUSTOMER, ITEM, WAREHOUSE, default_supplier_name, warehouses
 from .inventory import closing_stock, fill_months, stock_changes
@@ -41,10 +42,9 @@ def market_sales(t: Tables, mes: date | None = None) -> DataFrame:
     customers = t["dim_clientes"].select(*CUSTOMER, "TIPO_CLIENTE_ID")
     keys = ["EMPRESA", "MES", "FORMATO", "INCLUIR", "ZONA", "ALMACEN_ID", "ARTICULO_ID"]
     # The customer is all that says the channel, so it is looked up first and every row is added up once, before the shuffle
-    # too. Each lookup is a table by itself: small ones are broadcast, and a hot customer of a large one is split.
+    # too. Each lookup is a table by itself: small ones are broadcast, and a hot customer of a large one is spread.
     totals = (
-        sales.withColumn("MES", month(F.col("FECHA")))
-        .join(customers, CUSTOMER, "left")
+        spread_join(sales.withColumn("MES", month(F.col("FECHA"))), customers, CUSTOMER)
         .join(channels, ["EMPRESA", "TIPO_CLIENTE_ID"], "left")
         .withColumns(
             {

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import day, days_between, is_invoice, is_return, month, months_back, only, ratio
 from ..model import Tables
 from ..operators.aggregates import Distinct, summarise
+from ..operators.joins import spread_join
 from .catalog import DEFAULT_CHANNEL, customer_type_channels
 from .dims import CUSTOMER, ITEM, lines, sellers, with_item_and_warehouse
 
@@ -123,10 +124,10 @@ def customer_summary(t: Tables, as_of: date) -> DataFrame:
 
 def line_margin(t: Tables) -> DataFrame:
     """Margin per company, month and product line."""
-    # The item says the line, so it is looked up first; names join the few totals.
+    # The item says the line, so it is looked up first, a hot item spread; names join the few totals.
     item_lines = t["dim_articulos"].select(*ITEM, "LINEA_ARTICULO_ID")
     sold = summarise(
-        t["fact_ventas_articulo"].withColumn("MES", month(F.col("FECHA"))).join(item_lines, ITEM, "left"),
+        spread_join(t["fact_ventas_articulo"].withColumn("MES", month(F.col("FECHA"))), item_lines, ITEM),
         ["EMPRESA", "MES", "LINEA_ARTICULO_ID"],
         sums=_sums("UNIDADES", *AMOUNTS),
         distinct=[
