@@ -1,8 +1,10 @@
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
+from tianguis.llm import near_dedup
 from tianguis.llm.components import connected_components
-from tianguis.llm.near_dedup import forest_depth, near_duplicates
+from tianguis.llm.near_dedup import Forest, forest_depth, forest_levels, most_disagreements, near_duplicates, shingle_set
+from tianguis.llm.staging import staged
 from tianguis.llm.queries import op4_ngram_jaccard_join
 
 
@@ -54,6 +56,7 @@ def test_depth_is_shortened_until_the_target():
     assert forest_depth(0.8, 40, 0.99999) == 6
     assert forest_depth(0.8, 40, 0.9) > 6
     assert forest_depth(0.1, 2, 0.999) == 1
+    assert forest_levels(0.8, 40, 0.99999) == [8, 6]
 
 
 def near_copies(rng, n, groups):
@@ -69,6 +72,86 @@ def near_copies(rng, n, groups):
     return rows
 
 
+def forest_rows(texts):
+    levels = forest_levels(0.8, 40, 0.99999)
+    forest = Forest(40, levels)
+    return [forest.signature(shingle_set(t)) for t in texts], most_disagreements(40 * levels[0], 0.8)
+
+
+def buckets(signatures, at):
+    found = defaultdict(list)
+    for i, (paths, _) in enumerate(signatures):
+        for path in paths[at * 40 : at * 40 + 40]:
+            found[int(path)].append(i)
+    return [b for b in found.values() if len(b) > 1]
+
+
+def test_longer_prefixes_refine_shorter_ones():
+    signatures, _ = forest_rows([t for _, t in near_copies(random.Random(3), 8, 4)])
+    longer, shorter = buckets(signatures, 0), buckets(signatures, 1)
+    assert longer and all(any(set(b) <= set(c) for c in shorter) for b in longer)
+
+
+def test_pairs_at_the_threshold_agree_in_their_sketches():
+    rng, pairs = random.Random(5), 0
+    for size in (20, 45, 200):
+        for _ in range(60):
+            shared, own = round(size * 0.8), size - round(size * 0.8)
+            words = [[f"s{rng.random()}"] for _ in range(shared)]
+            sides = [words + [[f"o{rng.random()}"] for _ in range(own // 2)] for _ in range(2)]
+            # Sets of single words, so the similarity is known: at least 0.8.
+            most, forest = most_disagreements(320, 0.8), Forest(40, [8, 6])
+            sketches = [forest.signature(shingle_set(" ".join(w[0] for w in s), 1))[1] for s in sides]
+            assert near_dedup._sketch_edges([(0, 0, 0, sketches[0]), (1, 0, 1, sketches[1])], False, most) == [(0, 1)]
+            pairs += 1
+    assert pairs == 180
+
+
+def test_texts_that_share_a_template_are_not_joined(documents):
+    rng = random.Random(6)
+    shared = " ".join(f"t{k}" for k in range(300))
+    texts = [shared + " " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(300)) for _ in range(300)]
+    signatures, most = forest_rows(texts)
+    met = buckets(signatures, 1)
+    assert met  # prefixes alone would join them
+    for bucket in met:
+        assert near_dedup._sketch_edges([(i, 0, i, signatures[i][1]) for i in bucket], False, most) == []
+    assert {r.n_links for r in near_duplicates(documents(list(enumerate(texts)))).collect()} == {0}
+
+
+def test_a_bucket_is_joined_by_few_edges():
+    (signature,), most = forest_rows(["one two three four five six seven"])
+    rows = [(i, i % 2, i, signature[1]) for i in range(50)]
+    assert near_dedup._sketch_edges(rows, False, most) == [(0, i) for i in range(1, 50)]
+    across = near_dedup._sketch_edges(rows, True, most)
+    assert len(across) == 49 and all((a - b) % 2 for a, b in across)
+
+
+def test_hot_nodes_are_split_by_the_join(spark, documents):
+    """A join with a staged minimum has an exchange of its own on both sides, which the skew join needs."""
+    rng = random.Random(9)
+    rows = [(i, f"{'same words again and again ' * 3}{i}" if i % 3 else " ".join(f"w{rng.random()}" for _ in range(9))) for i in range(3000)]
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        edges = spark.createDataFrame([(0, i) for i in range(1, 4000)] + [(i, i + 1) for i in range(5000, 9000, 2)], "a long, b long")
+        edges = staged(edges.repartition(8), "edges")
+        least = staged(edges.groupBy("a").agg({"b": "min"}).toDF("a", "m"), "least")
+        joined = edges.join(least, "a")
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+        assert found(near_duplicates(documents(rows[:60]))) == brute_force(rows[:60])
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_links_match_brute_force(documents):
     rows = near_copies(random.Random(7), 25, 12)
     rows += [(1000 + i, t) for i, t in enumerate(["", None, " \n", "one two", "one  two", "x y z", "long " * 50, "long " * 51])]

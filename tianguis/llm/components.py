@@ -11,7 +11,7 @@ from tianguis.llm.staging import staged
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node moves to the smallest of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m"))
+    least = staged(both.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
     return moved.filter("a != b").distinct()
 
@@ -19,7 +19,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours move to the smallest of these."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = staged(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).filter("a != b").distinct()
 
@@ -29,7 +29,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Large and small star in turn until the edges stay the same, which takes a number of rounds that grows with the
     logarithm of the nodes. A round aggregates and joins on nodes, so a node with very many edges is one line per task
-    in the sums and is split in the join; edges never grow in number, and each round's are staged.
+    in the sums; these are staged, so that the join with them can split it. Edges never grow in number, and each round's
+    are staged.
     """
     state = lambda e: e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
     edges = staged(edges.select("a", "b").filter("a != b").distinct(), "edges")

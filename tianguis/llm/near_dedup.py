@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import groupby
 
@@ -21,9 +21,15 @@ WORDS = 5
 THRESHOLD = 0.8
 TREES = 40
 MAX_DEPTH = 16
+#: The first level of the forest looks at prefixes that are this much longer than the last.
+LONGER = 2
 #: The share of the pairs exactly at the threshold that the forest has to find; more similar pairs are found more surely.
 TARGET_RECALL = 0.99999
 SEED = 4
+#: Bits kept of a minhash (the comparison counts symbols of two) to tell pairs that are far from similar, and how many standard deviations a pair at the threshold
+#: may fall short of what it should agree in.
+SKETCH_BITS = 2
+SLACK = 6
 #: A verification task holds two groups of members of about so many shingles and documents each.
 BLOCK_SHINGLES = 2_000_000
 BLOCK_DOCUMENTS = 2_000
@@ -67,25 +73,73 @@ def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
     return np.unique(h)
 
 
+def forest_levels(threshold: float, trees: int, target: float) -> list[int]:
+    """Lengths of the prefixes that are matched, the longest first; the last is `forest_depth`."""
+    last = forest_depth(threshold, trees, target)
+    return [depth for depth in (last + LONGER, last) if depth <= MAX_DEPTH]
+
+
 class Forest:
-    """Prefix hashes of a shingle set, one for each tree."""
+    """The signature of a shingle set: a path of minhashes in each tree, and a few bits of every minhash."""
 
-    def __init__(self, trees: int, depth: int):
+    def __init__(self, trees: int, levels: list[int]):
         rng = np.random.default_rng(SEED)
-        self.trees, self.depth = trees, depth
+        depth = levels[0]
+        self.trees, self.depth, self.levels = trees, depth, levels
         self.factors = rng.integers(0, 2**64, trees * depth, np.uint64) | np.uint64(1)
         self.shifts = rng.integers(0, 2**64, trees * depth, np.uint64)
         self.labels = rng.integers(0, 2**64, trees, np.uint64)
 
-    def prefixes(self, shingles: np.ndarray) -> np.ndarray:
+    def signature(self, shingles: np.ndarray) -> tuple[np.ndarray, bytes]:
+        """Hashes of the path of each tree, level after level, and the sketch."""
         least = np.full(self.trees * self.depth, np.uint64(2**64 - 1))
         for at in range(0, len(shingles), 512):
             part = shingles[None, at : at + 512] * self.factors[:, None] + self.shifts[:, None]
             np.minimum(least, part.min(axis=1), out=least)
-        path = self.labels
-        for minhashes in least.reshape(self.trees, self.depth).T:
+        path, paths = self.labels, {}
+        for depth, minhashes in enumerate(least.reshape(self.trees, self.depth).T, 1):
             path = _mixed(path + minhashes)
-        return path.view(np.int64)
+            paths[depth] = path.view(np.int64)
+        symbols = (_mixed(least) >> np.uint64(64 - SKETCH_BITS)).astype(np.uint8)
+        bits = np.unpackbits(symbols[:, None], axis=1)[:, -SKETCH_BITS:]
+        return np.concatenate([paths[d] for d in self.levels]), np.packbits(bits).tobytes()
+
+
+def most_disagreements(minhashes: int, threshold: float, slack: float = SLACK) -> int:
+    """How many symbols of the sketches of two sets at the threshold may differ, but for `slack` standard deviations."""
+    differs = (1 - threshold) * (1 - 0.5**SKETCH_BITS)
+    return int(minhashes * differs + slack * (minhashes * differs * (1 - differs)) ** 0.5)
+
+
+def _sketch_edges(rows: list[tuple], across: bool, most: int) -> list[tuple]:
+    """(member, other) of members of a bucket whose sketches agree, as few as join the labels that such pairs join.
+
+    `rows` are (member, own group, label, sketch). Members that are joined already are not compared any further.
+    """
+    members, sides = [r[0] for r in rows], np.array([r[1] for r in rows])
+    width = len(rows[0][3])
+    sketches = np.frombuffer(b"".join(r[3] + bytes(-width % 8) for r in rows), np.uint64).reshape(len(rows), -1)
+    sketches = np.ascontiguousarray(sketches.T)
+    labels, out = np.unique([r[2] for r in rows], return_inverse=True)[1], []
+    low = np.uint64(0x5555555555555555)  # the lower bit of every two-bit symbol
+    for i in range(len(rows)):
+        others = np.flatnonzero(labels[i + 1 :] != labels[i]) + i + 1
+        if across:
+            others = others[sides[others] != sides[i]]
+        if not len(others):
+            if (labels == labels[0]).all():
+                break
+            continue
+        differ = np.zeros(len(others), np.int64)
+        for words in sketches:
+            z = words[others] ^ words[i]
+            differ += np.bitwise_count((z | (z >> np.uint64(1))) & low)
+        found = others[differ <= most]
+        _, one_each = np.unique(labels[found], return_index=True)
+        for j in found[one_each]:
+            out.append((members[i], members[j]))
+            labels[labels == labels[j]] = labels[i]
+    return out
 
 
 def _pairs_within(sets: list[np.ndarray], sides: np.ndarray, across: bool, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
@@ -154,37 +208,43 @@ def near_duplicates(
     any other, so a class with one has class_id null. Null text counts as empty; texts without words are copies of each
     other and linked with none. Words are what white space parts, in the case they have.
 
-    Candidates come from the forest: members that share a prefix in some tree are connected with the prefix's smallest
-    member, never with each other, and the components of these edges are verified. Members meet in blocks of a bounded
-    size: a component over it is cut into groups, each two of which meet once, so no task holds a component and no pair
-    leaves a task but as a count. Equal sets meet once whatever their number.
+    Candidates come from the forest, the longest prefixes first. Members that share a prefix in some tree are a bucket;
+    those whose sketches agree nearly as much as two sets at the threshold would are joined. Prefixes are then shortened,
+    up to the length that meets the target recall, and only buckets go on whose members are not all joined yet. What is
+    joined is verified exactly. A bucket of texts that are far from similar (half a page of one template) so joins
+    nothing. Members meet in blocks of a bounded size, in buckets and in verification: a group over it is cut into
+    parts, each two of which meet once, so no task holds a group and no pair leaves a task but as a count or as one of
+    the few edges that join it. Equal sets meet once whatever their number.
     """
-    depth = forest_depth(threshold, trees, target_recall)
+    levels = forest_levels(threshold, trees, target_recall)
+    most = most_disagreements(trees * levels[0], threshold)
 
     def sketched(texts: pd.Series) -> pd.DataFrame:
-        forest, rows = Forest(trees, depth), []
+        forest, rows = Forest(trees, levels), []
         for text in texts:
             shingles = shingle_set(text, words)
-            prefixes = forest.prefixes(shingles) if len(shingles) else None
-            rows.append((hashlib.blake2b(shingles.tobytes(), digest_size=16).digest(), prefixes))
-        return pd.DataFrame(rows, columns=["digest", "prefixes"])
+            paths, sketch = forest.signature(shingles) if len(shingles) else (None, None)
+            rows.append((hashlib.blake2b(shingles.tobytes(), digest_size=16).digest(), paths, sketch))
+        return pd.DataFrame(rows, columns=["digest", "paths", "sketch"])
 
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]) if carry else F.struct(text.alias(text_col))
     rows = df.select(
         F.col(f"`{id_col}`").alias("doc_id"),
         F.monotonically_increasing_id().alias("place"),
-        F.pandas_udf(sketched, "digest binary, prefixes array<long>")(text).alias("s"),
+        F.pandas_udf(sketched, "digest binary, paths array<long>, sketch binary")(text).alias("s"),
         whole.alias("row"),
     )
     rows = staged(rows.select("doc_id", "place", "s.*", "row"), "shingles")
-    members = rows.groupBy("digest").agg(F.min("place").alias("member"), F.min_by("prefixes", "place").alias("prefixes"))
-    member_of = members.select("digest", "member")
-
-    paths = members.select("member", F.explode("prefixes").alias("path"))
-    firsts = paths.groupBy("path").agg(F.min("member").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    candidates = paths.join(firsts, "path").filter("member != first").select(F.col("member").alias("a"), F.col("first").alias("b"))
-    components = staged(connected_components(candidates), "candidates")
+    first = F.min_by(F.struct("paths", "sketch"), "place").alias("first")
+    members = rows.groupBy("digest").agg(F.min("place").alias("member"), first).select("digest", "member", "first.*")
+    # Staged, as are all counts and minima below: a join splits a hot key only if neither side was grouped by it.
+    members = staged(members, "members")
+    edges, components = None, None
+    for at in range(len(levels)):
+        found = staged(_level_edges(members, components, at, trees, most, block_documents), "edges")
+        edges = found if edges is None else edges.unionByName(found)
+        components = staged(connected_components(edges), "candidates")
 
     def shingles_of(texts: pd.Series) -> pd.Series:
         return pd.Series([shingle_set(t, words).tobytes() for t in texts], dtype=object)
@@ -197,46 +257,21 @@ def near_duplicates(
     sets = staged(sets, "sets")
     sizes = sets.groupBy("component").agg(F.count("*").alias("n"), F.sum(F.length("shingles") / 8).alias("total"))
     groups = F.ceil(F.greatest(F.col("n") / block_documents, F.col("total") / block_shingles)).cast("int")
-    own = F.pmod(F.xxhash64("node"), F.col("groups")).cast("int")
-    dealt = (
-        sets.join(sizes.select("component", groups.alias("groups")), "component")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
-        .select(
-            "component",
-            F.least("own", "other").alias("low"),
-            F.greatest("own", "other").alias("high"),
-            "node",
-            "own",
-            "shingles",
-        )
-    )
-    block = ["component", "low", "high"]
-
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def lines() -> Iterator[tuple]:
-            for batch in batches:
-                yield from batch.itertuples(index=False, name=None)
+    sizes = staged(sizes.select("component", groups.alias("groups")), "sizes")
+    dealt = _dealt(sets.join(sizes, "component"), "component", "node", "shingles")
 
-        held: list[tuple] = []
-        for key, group in groupby(lines(), key=lambda r: r[:3]):
-            part = [r[3:] for r in group]
-            if len(part) > 1:
-                held += _verified(part, key[1] != key[2], threshold)
-            if len(held) > 20_000:
-                yield _links(held)
-                held = []
-        yield _links(held)
+    def verify(part: list[tuple], across: bool) -> list[tuple]:
+        return _verified(part, across, threshold)
 
-    links = dealt.repartition(*block).sortWithinPartitions(*block).mapInPandas(verify, "a long, b long, links long")
-    links = staged(links, "links")
+    links = staged(_by_block(dealt, verify, "a long, b long, links long"), "links")
     linked = connected_components(links.filter("b IS NOT NULL").select("a", "b"))
     degrees = links.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("n_links"))
     known = degrees.join(linked, "node", "full").select(F.col("node").alias("member"), "n_links", "component")
+    known = staged(known, "known")
 
     per_row = staged(
-        rows.drop("prefixes", "row")
-        .join(member_of, "digest")
+        rows.select("doc_id", "place", "digest")
+        .join(members.select("digest", "member"), "digest")
         .drop("digest")
         .join(known, "member", "left")
         .select(
@@ -248,8 +283,8 @@ def near_duplicates(
         ),
         "classes",
     )
-    copies = per_row.groupBy("member").agg(F.min(F.struct("doc_id", "place")).alias("copy"))
-    classes = per_row.groupBy("component").agg(F.min(F.struct("doc_id", "place")).alias("head"))
+    copies = staged(per_row.groupBy("member").agg(F.min(F.struct("doc_id", "place")).alias("copy")), "copies")
+    classes = staged(per_row.groupBy("component").agg(F.min(F.struct("doc_id", "place")).alias("head")), "heads")
     result = (
         per_row.join(copies, "member")
         .join(classes, "component")
@@ -265,5 +300,51 @@ def near_duplicates(
     return result.join(rows.select("place", "row"), "place").drop("place") if carry else result.drop("place")
 
 
-def _links(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["a", "b", "links"]).astype({"a": "int64", "b": "Int64", "links": "int64"})
+def _level_edges(members: DataFrame, components: DataFrame | None, at: int, trees: int, most: int, block: int) -> DataFrame:
+    """Edges (a, b) that the buckets of one level add; members that `components` lists are joined already."""
+    label = F.col("member")
+    if components is not None:
+        members = members.join(components.withColumnRenamed("node", "member"), "member", "left")
+        label = F.coalesce("component", "member")
+    level = F.slice("paths", at * trees + 1, trees)
+    paths = members.select(F.explode(level).alias("path"), "member", label.alias("label"), "sketch")
+    buckets = paths.groupBy("path").agg(F.count("*").alias("n"), F.min("label").alias("least"), F.max("label").alias("most"))
+    groups = F.ceil(F.col("n") / block).cast("int").alias("groups")
+    open_ = staged(buckets.filter("least != most").select("path", groups), "buckets")
+    return _by_block(
+        _dealt(paths.join(open_, "path"), "path", "member", "label", "sketch"),
+        lambda part, across: _sketch_edges(part, across, most),
+        "a long, b long",
+    )
+
+
+def _dealt(df: DataFrame, key: str, node: str, *columns: str) -> DataFrame:
+    """Rows of each key in blocks (low, high): the nodes are dealt to as many parts as `groups` says, and two parts meet once."""
+    return (
+        df.withColumn("own", F.pmod(F.xxhash64(node), F.col("groups")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+        .select(F.col(key).alias("key"), F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), node, "own", *columns)
+    )
+
+
+def _by_block(dealt: DataFrame, work: Callable[[list[tuple], bool], list[tuple]], schema: str) -> DataFrame:
+    """`work` on the rows of every block, told whether two different parts meet in it."""
+    block = ["key", "low", "high"]
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=names).astype("Int64")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lines = (line for batch in batches for line in batch.itertuples(index=False, name=None))
+        held: list[tuple] = []
+        for key, group in groupby(lines, key=lambda r: r[:3]):
+            part = [r[3:] for r in group]
+            if len(part) > 1:
+                held += work(part, key[1] != key[2])
+            if len(held) > 20_000:
+                yield frame(held)
+                held = []
+        yield frame(held)
+
+    return dealt.repartition(*block).sortWithinPartitions(*block).mapInPandas(run, schema)
