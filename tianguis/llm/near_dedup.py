@@ -307,12 +307,14 @@ def _level_edges(members: DataFrame, components: DataFrame | None, at: int, tree
         members = members.join(components.withColumnRenamed("node", "member"), "member", "left")
         label = F.coalesce("component", "member")
     level = F.slice("paths", at * trees + 1, trees)
-    paths = members.select(F.explode(level).alias("path"), "member", label.alias("label"), "sketch")
+    paths = members.select(F.explode(level).alias("path"), "member", label.alias("label"))
     buckets = paths.groupBy("path").agg(F.count("*").alias("n"), F.min("label").alias("least"), F.max("label").alias("most"))
     groups = F.ceil(F.col("n") / block).cast("int").alias("groups")
     open_ = staged(buckets.filter("least != most").select("path", groups), "buckets")
+    # Most paths are alone in their bucket, so sketches join only those that are left.
+    met = paths.join(open_, "path").join(members.select("member", "sketch"), "member")
     return _by_block(
-        _dealt(paths.join(open_, "path"), "path", "member", "label", "sketch"),
+        _dealt(met, "path", "member", "label", "sketch"),
         lambda part, across: _sketch_edges(part, across, most),
         "a long, b long",
     )
