@@ -252,3 +252,16 @@ def test_load_times_are_utc(spark, store):
     for zone in ("America/Mexico_City", "UTC"):
         spark.conf.set("spark.sql.session.timeZone", zone)
         assert [r[0] for r in store.read(spec).selectExpr("unix_seconds(a)").collect()] == [1788271200] * 2
+
+
+def test_replacing_many_partitions_takes_time_in_proportion():
+    import time
+
+    from tianguis.operators.live import Live
+
+    old = [str(i) for i in range(60_000)]
+    before = Live(folders=dict.fromkeys(old, "a"), rows=dict.fromkeys(old, 1))
+    start = time.process_time()
+    after = before.replacing([*old, "new"], "b", {"new": 2})
+    assert after.folders == {"new": "b"} and after.rows == {"new": 2}
+    assert time.process_time() - start < 5

@@ -230,3 +230,15 @@ def test_inferred_types_agree_from_night_to_night(spark, tmp_path):
 def test_other_changes_of_type_are_refused(spark, tmp_path, old, value):
     with pytest.raises(InferredTypes, match="zonas: A was"):
         read_inferred_pages(spark, land(tmp_path / "t", page([{"A": value}])), table="zonas", before=ddl(f"A {old}"))
+
+
+def test_landed_rows_are_dealt_once_and_written_compressed(spark, tmp_path):
+    from checks.ingest import land, landed_pages
+
+    rows_in = spark.range(0, 20_000, 7).select(F.col("id").alias("ID"), F.lit("x").alias("X"))
+    assert landed_pages(rows_in, "ID")._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    folder = tmp_path / "landed"
+    land(rows_in, "ID", str(folder))
+    assert {f.suffixes[-1] for f in folder.glob("part-*")} == {".gz"}
+    back = read_pages(spark, str(folder), T.StructType.fromDDL("ID BIGINT, X STRING"), False, "t")
+    assert sorted(int(r["ID"]) for r in back.collect()) == list(range(0, 20_000, 7))
