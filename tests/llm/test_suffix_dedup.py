@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from tianguis.llm import suffix_dedup
 from tianguis.llm.queries import op2_suffix_dedup
 from tianguis.llm.suffix_dedup import _suffix_order, anchored_runs, boundaries, repeated_spans, repeated_strings, span_digests, without_spans
 
@@ -104,3 +105,38 @@ def test_query(spark):
     rows = [(r.doc_id, (r.text or "").encode()) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     want = sorted(((i, *d) for (i, _), d in zip(rows, brute_force([t for _, t in rows], 200))), key=repr)
     assert sorted(map(tuple, op2_suffix_dedup(spark, sf_dir).collect()), key=repr) == want
+
+
+def test_order_up_to_a_depth_keeps_its_boundaries():
+    rng = random.Random(6)
+    for depth in (1, 3, 9, 40):
+        contents = sorted({*passages(rng, 12, b"ab", 30), *(b"ab" * 60 + bytes([k]) for k in range(5))})
+        sizes = np.array([len(c) for c in contents])
+        ends = np.cumsum(sizes + 1) - 1
+        text = np.array([x for c in contents for x in [*(b + 1 for b in c), 0]])
+        content = np.repeat(np.arange(len(contents)), sizes + 1)
+        whole, order = _suffix_order(text, content, ends), _suffix_order(text, content, ends, depth)
+        assert sorted(order.tolist()) == list(range(len(text)))
+        first = lambda i: text[i : ends[content[i]]].tolist()[:depth]
+        assert [first(i) for i in order] == [first(i) for i in whole]
+        assert boundaries(order, text, depth).tolist() == boundaries(whole, text, depth).tolist()
+
+
+def test_bytes_of_contents_that_all_recur_are_not_moved(documents, monkeypatch):
+    """Copies have no strings but those their counts have settled, so nothing of them goes to a block."""
+    rng = random.Random(7)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    staged, moved = suffix_dedup.staged, {}
+
+    def recorded(df, name):
+        out = staged(df, name)
+        moved[name] = out.count()
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "staged", recorded)
+    copies = [t for t in (text(300) for _ in range(12)) for _ in range(3)]
+    for texts in (copies, copies + [copies[0][:150] + text(150), copies[5][100:]]):
+        rows = list(enumerate(texts))
+        want = sorted(((i, *d) for (i, _), d in zip(rows, brute_force([t.encode() for _, t in rows], 50))), key=repr)
+        assert digests(repeated_spans(documents(rows), length=50, anchor=16)) == want
+        assert (moved["contents"] > 0) == (len(texts) > len(copies))

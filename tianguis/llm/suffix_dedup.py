@@ -92,34 +92,35 @@ def anchored_runs(data: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR)
     return starts, ends - starts, grams[places[starts]], _mixed(content)
 
 
-def _suffix_order(text: np.ndarray, content: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def _suffix_order(text: np.ndarray, content: np.ndarray, ends: np.ndarray, depth: int | None = None) -> np.ndarray:
     """Suffixes in order, each compared up to the end of its content; contents that end alike go by number.
 
     Ranks of the first symbols double in length each round; only suffixes whose rank is still shared are sorted again.
+    Suffixes that agree in `depth` symbols may come in any order, which the intervals of strings up to that length do
+    not show.
     """
     n, contents = len(text), len(ends)
     at_end = ends[content]
     width = 7
-    packed, alive = np.zeros(n, np.int64), np.ones(n, bool)
+    packed = np.zeros(n, np.int64)
     place = np.arange(n)
     for k in range(width):
-        alive &= place + k < at_end
-        symbol = np.zeros(n, np.int64)
-        symbol[: n - k] = text[k:]
-        packed = (packed << 9) | np.where(alive, symbol, 0)
-    order = np.argsort(packed, kind="stable")
+        packed[: n - k] |= text[k:] << 9 * (width - 1 - k)
+    packed &= ~((1 << 9 * (width - np.arange(width + 1))) - 1)[np.minimum(at_end - place, width)]
+    order = np.argsort(packed)  # what is equal is told apart below
     fresh = np.concatenate([[True], np.diff(packed[order]) != 0])
     begins = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
     rank = np.empty(n, np.int64)
     rank[order] = begins
     slots = np.arange(n)
-    while True:
+    while depth is None or width < depth:
         shared = np.zeros(len(order), bool)
         same = begins[1:] == begins[:-1]
         shared[1:] |= same
         shared[:-1] |= same
         order_open, slots = order[shared], slots[shared]
         if not len(order_open):
+            order = order_open
             break
         beyond = order_open + width
         inside = beyond <= at_end[order_open]
@@ -134,6 +135,8 @@ def _suffix_order(text: np.ndarray, content: np.ndarray, ends: np.ndarray) -> np
         width *= 2
     result = np.empty(n, np.int64)
     result[rank] = place
+    # Where ranks are still shared, their places are filled one each.
+    result[slots] = order
     return result
 
 
@@ -148,7 +151,7 @@ def boundaries(order: np.ndarray, text: np.ndarray, length: int) -> np.ndarray:
     n = len(order)
     before = np.where(order > 0, text[order - 1], 0)
     to_first = np.empty(n, np.int64)
-    to_first[np.argsort(before, kind="stable")] = np.arange(n)
+    to_first[np.argsort(before.astype(np.uint16), kind="stable")] = np.arange(n)
     known = np.zeros(n + 1, bool)
     known[0] = known[n] = True
     counts = np.bincount(text, minlength=257)
@@ -206,7 +209,7 @@ def repeated_strings(contents: list[bytes], counts: np.ndarray, length: int = LE
     inner = np.ones(len(text), bool)
     inner[ends] = False
     text[inner] = np.frombuffer(b"".join(contents), np.uint8).astype(np.int64) + 1
-    order = _suffix_order(text, content, ends)
+    order = _suffix_order(text, content, ends, length)
     group = np.cumsum(boundaries(order, text, length)[:-1]) - 1
     often = np.bincount(group, counts[content[order]])[group] > 1
     long_enough = order + length <= ends[content[order]]
@@ -257,8 +260,9 @@ def repeated_spans(
 
     Strings are dealt out by anchors, which equal strings share, so that a block of anchors has all occurrences of its
     strings. Anchors that occur once are dropped after a count; equal runs of strings become one content with a count
-    before any bytes are moved; so groups of copies arrive as one line. Each block of distinct contents is settled by a
-    Burrows-Wheeler transform. An anchor whose contents exceed `max_anchor_bytes` is settled by counting its strings
+    before any bytes are moved; so groups of copies arrive as one line. All strings of a content that occurs more than
+    once are repeated; an anchor that has no other contents has nothing left to compare, so its bytes are not moved. Each
+    block of the other anchors' distinct contents is settled by a Burrows-Wheeler transform. An anchor whose contents exceed `max_anchor_bytes` is settled by counting its strings
     one by one, which needs no group in one place.
     """
     texts = df.select(
@@ -280,9 +284,15 @@ def repeated_spans(
     found = texts.select("place", "text").mapInPandas(runs, "place long, start long, strings long, anchor long, content long")
     shared = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
     runs_of_shared = staged(found.join(shared, "anchor"), "runs")
-    contents = runs_of_shared.groupBy("anchor", "content").agg(
-        F.count("*").alias("n"), F.min(F.struct("place", "start", "strings")).alias("at")
+    counted = staged(
+        runs_of_shared.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(F.struct("place", "start", "strings")).alias("at")),
+        "counted",
     )
+    # Staged, so that the joins with it can be split.
+    open_ = staged(counted.groupBy("anchor").agg(F.min("n").alias("least")).filter("least = 1").select("anchor"), "open")
+    contents = counted.join(open_, "anchor", "left_semi")
+    everywhere = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("at.strings").alias("b")))
+    whole = counted.join(open_, "anchor", "left_anti").select("anchor", "content", everywhere.alias("ranges"))
 
     def cut(rows: pd.Series, at: pd.Series) -> pd.Series:
         out = []
@@ -345,7 +355,7 @@ def repeated_spans(
         .agg(F.collect_list(F.struct(F.col("a").cast("long").alias("a"), (F.col("a") + 1).cast("long").alias("b"))).alias("ranges"))
     )
 
-    ranges = staged(by_block.unionByName(one_by_one), "ranges")
+    ranges = staged(by_block.unionByName(one_by_one).unionByName(whole), "ranges")
     spans = (
         runs_of_shared.join(ranges, ["anchor", "content"])
         .select("place", F.explode("ranges").alias("r"), "start")
