@@ -182,3 +182,24 @@ def test_query_finds_all_links_of_a_table(spark):
     sf_dir = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     assert found(op4_ngram_jaccard_join(spark, sf_dir)) == brute_force(rows)
+
+
+def test_paths_move_only_to_the_join_that_finds_who_meets(documents, monkeypatch):
+    """What is staged besides the signatures has no paths but of members that meet another one; copies are one of them."""
+    rng, tables = random.Random(10), {}
+    written = near_dedup.staged
+
+    def recorded(df, name):
+        tables.setdefault(name, []).append(out := written(df, name))
+        return out
+
+    monkeypatch.setattr(near_dedup, "staged", recorded)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    alone, base = [" ".join(text(80)) for _ in range(60)], text(200)
+    texts = alone + alone[:20] + [" ".join(base), " ".join([*base[:-1], "x"]), " ".join(["y", *base[1:]])] + [" ".join(base)] * 30
+    rows = list(enumerate(texts))
+    want = brute_force(rows)
+    assert found(near_duplicates(documents(rows))) == want
+    members = [r.member for t in tables["met"] for r in t.collect()]
+    assert len(set(members)) == 3 and len(members) <= 3 * near_dedup.TREES
+    assert [name for name, made in tables.items() if any("paths" in t.columns for t in made)] == ["shingles"]

@@ -210,8 +210,9 @@ def near_duplicates(
 
     Candidates come from the forest, the longest prefixes first. Members that share a prefix in some tree are a bucket;
     those whose sketches agree nearly as much as two sets at the threshold would are joined. Prefixes are then shortened,
-    up to the length that meets the target recall, and only buckets go on whose members are not all joined yet. What is
-    joined is verified exactly. A bucket of texts that are far from similar (half a page of one template) so joins
+    up to the length that meets the target recall, and only buckets go on whose members are not all joined yet. Members
+    that share a longer prefix share the shortest too, so all paths are compared once, by the shortest, and every length
+    looks only at what met there. What is joined is verified exactly. A bucket of texts that are far from similar (half a page of one template) so joins
     nothing. Members meet in blocks of a bounded size, in buckets and in verification: a group over it is cut into
     parts, each two of which meet once, so no task holds a group and no pair leaves a task but as a count or as one of
     the few edges that join it. Equal sets meet once whatever their number.
@@ -236,13 +237,14 @@ def near_duplicates(
         whole.alias("row"),
     )
     rows = staged(rows.select("doc_id", "place", "s.*", "row"), "shingles")
-    first = F.min_by(F.struct("paths", "sketch"), "place").alias("first")
-    members = rows.groupBy("digest").agg(F.min("place").alias("member"), first).select("digest", "member", "first.*")
     # Staged, as are all counts and minima below: a join splits a hot key only if neither side was grouped by it.
-    members = staged(members, "members")
+    digests = staged(rows.groupBy("digest").agg(F.min("place").alias("member")), "digests")
+    members = staged(rows.select("doc_id", "place", "digest").join(digests, "digest").drop("digest"), "members")
+    met = staged(_met(rows, members, len(levels), trees), "met")
+    sketches = rows.filter("sketch IS NOT NULL").select(F.col("place").alias("member"), "sketch")
     edges, components = None, None
     for at in range(len(levels)):
-        found = staged(_level_edges(members, components, at, trees, most, block_documents), "edges")
+        found = staged(_level_edges(met, f"p{at}", sketches, components, most, block_documents), "edges")
         edges = found if edges is None else edges.unionByName(found)
         components = staged(connected_components(edges), "candidates")
 
@@ -270,11 +272,7 @@ def near_duplicates(
     known = staged(known, "known")
 
     per_row = staged(
-        rows.select("doc_id", "place", "digest")
-        .join(members.select("digest", "member"), "digest")
-        .drop("digest")
-        .join(known, "member", "left")
-        .select(
+        members.join(known, "member", "left").select(
             "doc_id",
             "place",
             "member",
@@ -300,19 +298,38 @@ def near_duplicates(
     return result.join(rows.select("place", "row"), "place").drop("place") if carry else result.drop("place")
 
 
-def _level_edges(members: DataFrame, components: DataFrame | None, at: int, trees: int, most: int, block: int) -> DataFrame:
+def _met(rows: DataFrame, members: DataFrame, levels: int, trees: int) -> DataFrame:
+    """(member, p0, p1, ..) of the members that share their shortest path in a tree with another one; p0 is the longest.
+
+    Paths of rows that are copies of one member are told by a label that is the same for equal sets, so that what is
+    moved are paths and places alone; two sets of one label are missed with a probability of 2^-32, if no third is there.
+    """
+    path = lambda at: F.slice("paths", at * trees + 1, trees)
+    last = f"p{levels - 1}"
+    labelled = rows.select(F.explode(path(levels - 1)).alias(last), F.hash("digest").alias("label"))
+    buckets = labelled.groupBy(last).agg(F.min("label").alias("least"), F.max("label").alias("most"))
+    open_ = staged(buckets.filter("least != most").select(last), "open")
+    names = [f"p{at}" for at in range(levels)]
+    paths = rows.select("place", F.inline(F.arrays_zip(*map(path, range(levels)))).alias(*names))
+    # Longer paths are looked at within a bucket only, which half of their bits tell apart.
+    longer = [F.shiftright(p, 32).cast("int").alias(p) for p in names[:-1]]
+    # Paths and open buckets both grow with the rows, so they are merged whatever the size of the table.
+    paths = paths.select("place", *longer, last).join(open_.hint("merge"), last)
+    met = paths.join(members.select("place", "member"), "place").select("member", *names).distinct()
+    return met.select("member", *[F.xxhash64(p, last).alias(p) for p in names[:-1]], last)
+
+
+def _level_edges(met: DataFrame, path: str, sketches: DataFrame, components: DataFrame | None, most: int, block: int) -> DataFrame:
     """Edges (a, b) that the buckets of one level add; members that `components` lists are joined already."""
     label = F.col("member")
     if components is not None:
-        members = members.join(components.withColumnRenamed("node", "member"), "member", "left")
+        met = met.join(components.withColumnRenamed("node", "member"), "member", "left")
         label = F.coalesce("component", "member")
-    level = F.slice("paths", at * trees + 1, trees)
-    paths = members.select(F.explode(level).alias("path"), "member", label.alias("label"))
+    paths = met.select(F.col(path).alias("path"), "member", label.alias("label"))
     buckets = paths.groupBy("path").agg(F.count("*").alias("n"), F.min("label").alias("least"), F.max("label").alias("most"))
     groups = F.ceil(F.col("n") / block).cast("int").alias("groups")
     open_ = staged(buckets.filter("least != most").select("path", groups), "buckets")
-    # Most paths are alone in their bucket, so sketches join only those that are left.
-    met = paths.join(open_, "path").join(members.select("member", "sketch"), "member")
+    met = paths.join(open_, "path").join(sketches, "member")
     return _by_block(
         _dealt(met, "path", "member", "label", "sketch"),
         lambda part, across: _sketch_edges(part, across, most),
