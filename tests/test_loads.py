@@ -274,3 +274,20 @@ def test_replacing_many_partitions_takes_time_in_proportion():
     after = before.replacing([*old, "new"], "b", {"new": 2})
     assert after.folders == {"new": "b"} and after.rows == {"new": 2}
     assert time.process_time() - start < 5
+
+
+def test_many_folders_do_not_take_a_task_each(spark, store):
+    """The driver keeps track of every task: a table of many days is listed, counted and read by a few for each core."""
+    days = [D(1) + timedelta(days=i) for i in range(60)]
+    made = spark.createDataFrame([(i, d, i) for i, d in enumerate(days)], "ID long, FECHA date, N int")
+    made = made.select("ID", "FECHA", F.col("N").cast("decimal(38,9)").alias("N"))
+    spark.sparkContext.setJobGroup("many-days", "")
+    store.replace_range(FACT, made, days[0], days[-1])
+    read = store.read_partitions(FACT, [d.isoformat() for d in days], store.live(FACT))
+    few = 4 * spark.sparkContext.defaultParallelism
+    assert read.count() == 60 and read.rdd.getNumPartitions() <= few and len(read.inputFiles()) == 60
+    track = spark.sparkContext.statusTracker()
+    stages = {s for job in track.getJobIdsForGroup("many-days") for s in track.getJobInfo(job).stageIds}
+    found = [track.getStageInfo(s) for s in stages]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(s.numTasks for s in found if s) <= few
